@@ -1,0 +1,62 @@
+"""Full rebuild of every model table, in dependency order."""
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+
+from parley.plans import contacts, conversations, messages, staging, timeseries
+from parley.sources import schemas
+from parley.sources.tables import conform, read_table, write_table
+
+
+def rebuild(
+    spark: SparkSession,
+    source_dir: str,
+    model_dir: str,
+    as_of: date,
+    first_name: str | None = None,
+) -> dict[str, DataFrame]:
+    """Read the landed source tables, replace all model tables and return them.
+
+    Each model reads the written tables it builds on, so no join or window runs twice.
+    """
+    source = {
+        name: read_table(spark, f"{source_dir}/{name}", name)
+        for name in (
+            schemas.MESSAGE,
+            schemas.CHAT_MESSAGE_JOIN,
+            schemas.CHAT,
+            schemas.CONTACT_RECORD,
+            schemas.CONTACT_PHONE,
+        )
+    }
+    models: dict[str, DataFrame] = {}
+
+    def model(name: str, df: DataFrame) -> DataFrame:
+        path = f"{model_dir}/{name}"
+        write_table(df, path)
+        models[name] = spark.read.schema(df.schema).parquet(path)
+        return models[name]
+
+    message = source[schemas.MESSAGE]
+    cleaned = model(schemas.ATTRIBUTED_BODY, staging.text_backfill(message))
+    model("stg_attributed_body", staging.stg_attributed_body(conform(cleaned, schemas.ATTRIBUTED_BODY)))
+    stg_contacts = model(
+        "stg_contacts",
+        staging.stg_contacts(source[schemas.CONTACT_RECORD], source[schemas.CONTACT_PHONE]),
+    )
+    normalized = model("int_contacts_normalized", contacts.contacts_normalized(stg_contacts))
+    int_messages = model(
+        "int_messages",
+        messages.int_messages(
+            staging.stg_message(message),
+            staging.stg_chat_message_join(source[schemas.CHAT_MESSAGE_JOIN]),
+            staging.stg_chat(source[schemas.CHAT]),
+            normalized,
+        ),
+    )
+    model("mart_conversations", conversations.mart_conversations(int_messages, as_of))
+    model(
+        "mart_message_timeseries", timeseries.mart_message_timeseries(int_messages, first_name)
+    )
+    return models

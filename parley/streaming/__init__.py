@@ -1,0 +1 @@
+"""Empty on purpose: every model is a full batch rebuild, so there is no streaming operator."""
