@@ -10,6 +10,13 @@ from parley.operators import segments
 from parley.sources import schemas
 from parley.sources.tables import conform
 
+# The columns in use; stating them saves a look into the files.
+DRIVER_TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "documents": "doc_id bigint, text string",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+}
+
 DIALECTS = {
     "spark": {
         "S": "string",
@@ -109,8 +116,8 @@ def load(spark: SparkSession, sf_dir: str, replies: bool = False) -> Sources:
     events of a chat are put in sequence, however many there are; otherwise it stays null.
     """
     tables = {
-        name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        for name in ("events", "documents", "customer")
+        name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+        for name, schema in DRIVER_TABLES.items()
     }
     fill = {**DIALECTS["spark"], "DOCS": "", "N": tables["documents"].count()}
 

@@ -10,9 +10,13 @@ def concat_nulls_empty(*parts: Column | str) -> Column:
 
 
 def ellipsize(text: Column, limit: int) -> Column:
-    """The first ``limit`` characters, with ``...`` where something was cut; null stays null."""
-    cut = F.concat(F.left(text, F.lit(limit)), F.lit("..."))
-    return F.when(F.length(text) > limit, cut).otherwise(text)
+    """The first ``limit`` characters, with ``...`` where something was cut; null stays null.
+
+    Compares bytes, which are at hand, so long texts are not counted to their end.
+    """
+    head = F.left(text, F.lit(limit))
+    was_cut = F.octet_length(head) < F.octet_length(text)
+    return F.when(was_cut, F.concat(head, F.lit("..."))).otherwise(text)
 
 
 def char_count(text: Column) -> Column:

@@ -74,12 +74,14 @@ def sequential_values(
     counted = df.filter(value.isNotNull()).groupBy(*by, column).agg(F.count("*").alias("copies"))
     home = F.floor(value / F.lit(values_per_segment)).cast("bigint")
     offset = F.pmod(value, F.lit(values_per_segment))
-    copies = F.array(home, F.when(offset >= values_per_segment - interval, home + 1))
+    ranges = F.when(offset >= values_per_segment - interval, F.array(home, home + 1)).otherwise(
+        F.array(home)
+    )
     order = Window.partitionBy(*by, "segment").orderBy(column)
     previous = F.col("previous_value")
     breaks = previous.isNull() | (previous != value - interval)
     suspects = (
-        counted.withColumn("segment", F.explode(F.array_compact(copies)))
+        counted.withColumn("segment", F.explode(ranges))
         .withColumn("previous_value", F.lag(column).over(order))
         .filter(F.col("segment") == home)
         .withColumn("failures", F.col("copies") - 1 + breaks.cast("bigint"))

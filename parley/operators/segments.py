@@ -12,7 +12,7 @@ its segment is brought to it:
 Split points only decide which task does what; any set of them gives the same result.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -110,23 +110,29 @@ def cut_groups(
     at: Column,
     tie: str,
     carry: Sequence[str],
-    keys: DataFrame | None = None,
     rows_per_segment: int = ROWS_PER_SEGMENT,
+    keys: DataFrame | None = None,
+    rows_of: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Cuts:
     """Decide how to cut the large groups of ``rows``, ordered by (at, tie).
 
     Runs one job over the key columns: of ``keys`` (group, ``at``, tie) if a cheaper source knows them
     about as well, else of the rows. Only when there is something to cut, edges add a second, narrow
     pass over the rows of the cut groups: per (group, segment) its size, the rows before it, and
-    ``carry`` of the rows next to it. They hold one row per segment.
+    ``carry`` of the rows next to it. They hold one row per segment. ``rows_of`` builds the rows of the
+    groups it is given, where that is cheaper than to pick them from ``rows``.
     """
     if keys is None:
         keys = rows.select(group, at.alias("at"), tie)
+    if rows_of is None:
+        rows_of = lambda groups: rows.join(groups, group, "left_semi")
     points = cut_lineage(split_points(keys, group, tie, rows_per_segment))
     if points.isEmpty():
         return Cuts(None, None)
+    # A checkpoint keeps the column identities of the rows it came from; joins need its own.
+    points = points.select(F.col(group).alias(group), "cuts")
 
-    hot = rows.join(F.broadcast(points.select(group)), group, "left_semi")
+    hot = rows_of(F.broadcast(points.select(group)))
     row = F.struct(position_key(at, F.col(tie)).alias("key"), *carry)
     sizes = (
         with_segment(hot, group, at, tie, points)
@@ -196,11 +202,11 @@ def with_halo(
     index = F.col(position) - 1
     home = F.floor(index / F.lit(rows_per_segment)).cast("bigint")
     offset = index % rows_per_segment
-    copies = F.array(
-        home,
-        F.when(offset >= rows_per_segment - before, home + 1),
-        F.when((offset < after) & (home > 0), home - 1),
+    copies = (
+        F.when(offset >= rows_per_segment - before, F.array(home, home + 1))
+        .when((offset < after) & (home > 0), F.array(home, home - 1))
+        .otherwise(F.array(home))
     )
-    return rows.withColumn("segment", F.explode(F.array_compact(copies))).withColumn(
+    return rows.withColumn("segment", F.explode(copies)).withColumn(
         "is_own", F.col("segment") == home
     )

@@ -81,7 +81,13 @@ def message_context(
     keys = link.select("chat_id", micros(epoch_ns(F.col("message_date"))).alias("at"), "message_id")
     messages = chat_messages(message, link)
     in_order = ("chat_id", micros(F.col("message_date")), "message_id", CONTEXT)
-    cuts = segments.cut_groups(messages, *in_order, keys, rows_per_segment)
+    cuts = segments.cut_groups(
+        messages,
+        *in_order,
+        rows_per_segment,
+        keys=keys,
+        rows_of=lambda chats: chat_messages(message, link.join(chats, "chat_id", "left_semi")),
+    )
     numbered = segments.sequence_rows(messages, *in_order, cuts)
     directory = segments.every_segment(
         chat_contacts(chat_identity(chat), contacts, dedupe_contacts), "chat_id", cuts

@@ -124,11 +124,16 @@ def windowed_metrics(
         "received_here": F.count_if(own & ~sent).over(so_far),
         "day_start_here": F.max(F.when(own & day_opens, sequence)).over(so_far),
         "first_date_here": F.first("message_date").over(so_far),
-        "avg_length_last_5_messages": F.avg(F.length("message_text")).over(last_five),
+        "avg_length_last_5_messages": F.avg("message_length").over(last_five),
     }
     zero = F.lit(0)
     metrics = (
-        rows.withColumn("message_date_day", truncated("day", at))
+        rows.withColumns(
+            {
+                "message_date_day": truncated("day", at),
+                "message_length": char_count(F.col("message_text")),
+            }
+        )
         .withColumns(neighbours)
         .withColumns(running)
         .filter("is_own")
@@ -184,7 +189,7 @@ def timeseries_enriched(metrics: DataFrame, gap_minutes: int = SESSION_GAP_MINUT
             "is_session_start": session_start(gap_minutes),
             "is_first_daily_message": F.col("daily_message_sequence") == 1,
             "message_length_category": up_to(
-                F.length("message_text"), LENGTH_CLASSES, "very_long"
+                F.col("message_length"), LENGTH_CLASSES, "very_long"
             ),
             "messages_per_day_to_date": F.col("cumulative_messages_in_conversation").cast("double")
             / days_so_far,
@@ -252,7 +257,6 @@ def mart_message_timeseries(
         .withColumns(
             {
                 "contact_name": contact_name(),
-                "message_length": char_count(F.col("message_text")),
                 "message_direction": F.when(F.col("is_from_me"), "sent").otherwise("received"),
                 "formatted_message": formatted_message(),
                 "temporal_context": temporal_context(),
