@@ -196,7 +196,8 @@ def conversation_enriched(base: DataFrame, as_of: date) -> DataFrame:
 def recent_message_preview(int_messages: DataFrame) -> DataFrame:
     """The three newest messages of each chat in one line, newest first.
 
-    Each task keeps the top three of a chat before the shuffle, so a large chat does not gather.
+    Each task keeps the top three of a chat before the shuffle, so a large chat does not gather, and
+    texts are shortened before they are sorted.
     """
     newest_first = Window.partitionBy("chat_id").orderBy(
         F.desc_nulls_last("message_date"), F.desc("message_sequence")
@@ -207,15 +208,16 @@ def recent_message_preview(int_messages: DataFrame) -> DataFrame:
     return (
         int_messages.filter(not_blank(F.col("message_text")))
         .select(
-            "chat_id", "partner_display_name", "message_text", "message_date", "is_from_me",
+            "chat_id",
+            "message_date",
             "message_sequence",
+            F.concat(speaker, ellipsize(F.col("message_text"), PREVIEW_CHARS)).alias("line"),
         )
         .withColumn("rank", F.row_number().over(newest_first))
         .filter(F.col("rank") <= PREVIEW_MESSAGES)
-        .withColumn("line", F.concat(speaker, ellipsize(F.col("message_text"), PREVIEW_CHARS)))
         .groupBy("chat_id")
         .agg(F.expr("listagg(line, ' | ') WITHIN GROUP (ORDER BY rank)").alias("recent_message_preview"))
-    )
+    )
 
 
 def conversation_summary() -> Column:
