@@ -221,9 +221,9 @@ def _fill_timeseries_columns() -> None:
 
 _fill_timeseries_columns()
 
+DUCKDB_TYPES = {"bigint": "BIGINT", "binary": "BLOB", "string": "VARCHAR"}
 OPTIONAL_CHAT = ", ".join(
-    f"NULL::{'BIGINT' if f.dataType.simpleString() == 'bigint' else 'BLOB' if f.dataType.simpleString() == 'binary' else 'VARCHAR'} AS {f.name}"
-    for f in schemas.optional(schemas.CHAT)
+    f"NULL::{DUCKDB_TYPES[kind]} AS {name}" for name, kind in schemas.optional(schemas.CHAT).items()
 )
 STG_CHAT = f"SELECT rowid AS row_id, guid, chat_identifier, service_name, display_name, {OPTIONAL_CHAT} FROM chat"
 BACKFILL = "SELECT rowid{alias}, guid, coalesce(text, decode(attributedbody)) AS text, hex(attributedbody) AS attributed_body FROM message"

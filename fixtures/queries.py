@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.oracle import NAMED_CONTACT
-from fixtures.views import Sources, load
+from fixtures.views import DriverSources, Sources
 from parley.functions import moments, phones, texts
 from parley.operators import quality
 from parley.plans import contacts, contract, conversations, messages, staging, threads, timeseries
@@ -19,17 +19,18 @@ from parley.sources.tables import conform, write_table
 AS_OF = date(2024, 2, 2)
 ROW_ID = ["message_id", "chat_id", "message_sequence"]
 
+AnySources = Sources | DriverSources
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(*, replies: bool = False) -> Callable[[Callable[[Sources], DataFrame]], Query]:
+def query(*, replies: bool = False) -> Callable[[Callable[[AnySources], DataFrame]], Query]:
     """Register a function of the source tables under its name."""
 
-    def register(build: Callable[[Sources], DataFrame]) -> Query:
+    def register(build: Callable[[AnySources], DataFrame]) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(load(prepare(spark), sf_dir, replies=replies))
+            return build(DriverSources(prepare(spark), sf_dir, replies))
 
         QUERIES[build.__name__] = run
         return run
@@ -37,11 +38,11 @@ def query(*, replies: bool = False) -> Callable[[Callable[[Sources], DataFrame]]
     return register
 
 
-def _contacts(s: Sources) -> DataFrame:
+def _contacts(s: AnySources) -> DataFrame:
     return contacts.contacts_normalized(staging.stg_contacts(s.record, s.phone))
 
 
-def _inputs(s: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _inputs(s: AnySources) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         staging.stg_message(s.message),
         staging.stg_chat_message_join(s.link),
@@ -49,11 +50,11 @@ def _inputs(s: Sources) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
-def _messages(s: Sources, **options) -> DataFrame:
+def _messages(s: AnySources, **options) -> DataFrame:
     return messages.int_messages(*_inputs(s), _contacts(s), **options)
 
 
-def _messages_table(s: Sources) -> DataFrame:
+def _messages_table(s: AnySources) -> DataFrame:
     """The message table as models that read it more than once find it: written."""
     return written_once(_messages(s), "int_messages")
 
@@ -62,47 +63,47 @@ def _messages_table(s: Sources) -> DataFrame:
 
 
 @query(replies=True)
-def stg_message(s: Sources) -> DataFrame:
+def stg_message(s: AnySources) -> DataFrame:
     return staging.stg_message(s.message).withColumn("attributedbody", F.hex("attributedbody"))
 
 
 @query()
-def stg_chat(s: Sources) -> DataFrame:
+def stg_chat(s: AnySources) -> DataFrame:
     return staging.stg_chat(s.chat)
 
 
 @query()
-def int_chat(s: Sources) -> DataFrame:
+def int_chat(s: AnySources) -> DataFrame:
     return staging.stg_chat(s.chat)
 
 
 @query()
-def stg_chat_message_join(s: Sources) -> DataFrame:
+def stg_chat_message_join(s: AnySources) -> DataFrame:
     return staging.stg_chat_message_join(s.link)
 
 
 @query()
-def text_backfill(s: Sources) -> DataFrame:
+def text_backfill(s: AnySources) -> DataFrame:
     return staging.text_backfill(s.message).withColumn("attributed_body", F.hex("attributed_body"))
 
 
-def _attributed_body(s: Sources) -> DataFrame:
+def _attributed_body(s: AnySources) -> DataFrame:
     cleaned = conform(staging.text_backfill(s.message), schemas.ATTRIBUTED_BODY)
     return staging.stg_attributed_body(cleaned).withColumn("attributed_body", F.hex("attributed_body"))
 
 
 @query()
-def stg_attributed_body(s: Sources) -> DataFrame:
+def stg_attributed_body(s: AnySources) -> DataFrame:
     return _attributed_body(s)
 
 
 @query()
-def int_attributed_body(s: Sources) -> DataFrame:
+def int_attributed_body(s: AnySources) -> DataFrame:
     return _attributed_body(s)
 
 
 @query()
-def sink_roundtrip(s: Sources) -> DataFrame:
+def sink_roundtrip(s: AnySources) -> DataFrame:
     normalized = _contacts(s)
     spark = normalized.sparkSession
     path = f"{shared_folder(spark)}/sink_roundtrip"
@@ -114,17 +115,17 @@ def sink_roundtrip(s: Sources) -> DataFrame:
 
 
 @query()
-def stg_contacts(s: Sources) -> DataFrame:
+def stg_contacts(s: AnySources) -> DataFrame:
     return staging.stg_contacts(s.record, s.phone, ordered=True)
 
 
 @query()
-def int_contacts_normalized(s: Sources) -> DataFrame:
+def int_contacts_normalized(s: AnySources) -> DataFrame:
     return _contacts(s)
 
 
 @query()
-def phone_normalize(s: Sources) -> DataFrame:
+def phone_normalize(s: AnySources) -> DataFrame:
     clean = F.col("clean_digits")
     return s.phone.select(
         "zowner", "zfullnumber", phones.digits(F.col("zfullnumber")).alias("clean_digits")
@@ -136,7 +137,7 @@ def phone_normalize(s: Sources) -> DataFrame:
 
 
 @query()
-def phone_type(s: Sources) -> DataFrame:
+def phone_type(s: AnySources) -> DataFrame:
     number = F.col("zfullnumber")
     return s.phone.select("zowner", number, phones.phone_type(number).alias("phone_type"))
 
@@ -145,12 +146,12 @@ def phone_type(s: Sources) -> DataFrame:
 
 
 @query()
-def base_messages(s: Sources) -> DataFrame:
+def base_messages(s: AnySources) -> DataFrame:
     return messages.base_messages(*_inputs(s))
 
 
 @query()
-def contact_match_type(s: Sources) -> DataFrame:
+def contact_match_type(s: AnySources) -> DataFrame:
     return (
         messages.messages_with_contacts(*_inputs(s), _contacts(s))
         .groupBy(
@@ -162,17 +163,17 @@ def contact_match_type(s: Sources) -> DataFrame:
 
 
 @query()
-def messages_with_contacts(s: Sources) -> DataFrame:
+def messages_with_contacts(s: AnySources) -> DataFrame:
     return messages.messages_with_contacts(*_inputs(s), _contacts(s))
 
 
 @query()
-def message_context(s: Sources) -> DataFrame:
+def message_context(s: AnySources) -> DataFrame:
     return messages.message_context(*_inputs(s), _contacts(s))
 
 
 @query()
-def epoch_to_timestamp(s: Sources) -> DataFrame:
+def epoch_to_timestamp(s: AnySources) -> DataFrame:
     uneven = F.col("date") + F.col("rowid") * 37 % 1000
     return s.message.select(
         "rowid",
@@ -182,19 +183,19 @@ def epoch_to_timestamp(s: Sources) -> DataFrame:
 
 
 @query()
-def response_time(s: Sources) -> DataFrame:
+def response_time(s: AnySources) -> DataFrame:
     return _messages(s).select(
         *ROW_ID, "is_from_me", "response_time_minutes", "is_consecutive_message"
     )
 
 
 @query()
-def read_delivery_time(s: Sources) -> DataFrame:
+def read_delivery_time(s: AnySources) -> DataFrame:
     return _messages(s).select(*ROW_ID, "is_from_me", "read_time_minutes", "delivery_time_seconds")
 
 
 @query()
-def int_messages(s: Sources) -> DataFrame:
+def int_messages(s: AnySources) -> DataFrame:
     return _messages(s)
 
 
@@ -202,42 +203,42 @@ def int_messages(s: Sources) -> DataFrame:
 
 
 @query()
-def conversation_type(s: Sources) -> DataFrame:
+def conversation_type(s: AnySources) -> DataFrame:
     typed = conversations.with_conversation_type(_messages(s))
     return typed.groupBy("chat_id", "conversation_type").agg(F.count("*").alias("messages"))
 
 
 @query()
-def conversation_base(s: Sources) -> DataFrame:
+def conversation_base(s: AnySources) -> DataFrame:
     return conversations.conversation_base(_messages(s))
 
 
 @query()
-def active_periods(s: Sources) -> DataFrame:
+def active_periods(s: AnySources) -> DataFrame:
     return conversations.active_periods(_messages(s))
 
 
 @query()
-def median_response(s: Sources) -> DataFrame:
+def median_response(s: AnySources) -> DataFrame:
     return conversations.median_response(_messages(s))
 
 
 @query()
-def conversation_ratios(s: Sources) -> DataFrame:
+def conversation_ratios(s: AnySources) -> DataFrame:
     return conversations.conversation_ratios(conversations.conversation_base(_messages(s)))
 
 
 @query()
-def conversation_enriched(s: Sources) -> DataFrame:
+def conversation_enriched(s: AnySources) -> DataFrame:
     return conversations.conversation_enriched(conversations.conversation_base(_messages(s)), AS_OF)
 
 
 @query()
-def recent_message_preview(s: Sources) -> DataFrame:
+def recent_message_preview(s: AnySources) -> DataFrame:
     return conversations.recent_message_preview(_messages(s))
 
 
-def _scored(s: Sources, column: str) -> DataFrame:
+def _scored(s: AnySources, column: str) -> DataFrame:
     base = conversations.conversation_base(_messages(s))
     scored = conversations.conversation_enriched(base, AS_OF).withColumns(
         {
@@ -249,22 +250,22 @@ def _scored(s: Sources, column: str) -> DataFrame:
 
 
 @query()
-def conversation_summary(s: Sources) -> DataFrame:
+def conversation_summary(s: AnySources) -> DataFrame:
     return _scored(s, "conversation_summary")
 
 
 @query()
-def importance_score(s: Sources) -> DataFrame:
+def importance_score(s: AnySources) -> DataFrame:
     return _scored(s, "conversation_importance_score")
 
 
 @query()
-def mart_conversations(s: Sources) -> DataFrame:
+def mart_conversations(s: AnySources) -> DataFrame:
     return conversations.mart_conversations(_messages_table(s), AS_OF, ordered=True)
 
 
 @query()
-def int_conversations(s: Sources) -> DataFrame:
+def int_conversations(s: AnySources) -> DataFrame:
     return conversations.int_conversations(_messages(s, dedupe_contacts=True))
 
 
@@ -272,7 +273,7 @@ def int_conversations(s: Sources) -> DataFrame:
 
 
 @query()
-def time_dims(s: Sources) -> DataFrame:
+def time_dims(s: AnySources) -> DataFrame:
     dims = moments.time_dims(F.col("message_date"))
     return timeseries.message_base(_messages(s)).select(
         *ROW_ID, *[dim.alias(name) for name, dim in dims.items()]
@@ -280,7 +281,7 @@ def time_dims(s: Sources) -> DataFrame:
 
 
 @query()
-def time_classes(s: Sources) -> DataFrame:
+def time_classes(s: AnySources) -> DataFrame:
     classes = moments.time_classes(F.col("message_date"))
     return timeseries.message_base(_messages(s)).select(
         *ROW_ID, *[label.alias(name) for name, label in classes.items()]
@@ -288,7 +289,7 @@ def time_classes(s: Sources) -> DataFrame:
 
 
 @query()
-def windowed_metrics(s: Sources) -> DataFrame:
+def windowed_metrics(s: AnySources) -> DataFrame:
     return timeseries.windowed_metrics(_messages_table(s)).select(
         *ROW_ID, "prev_message_date", "prev_message_from_me", "prev_message_sender",
         "next_message_date", "next_message_from_me", "minutes_since_prev_message",
@@ -299,12 +300,12 @@ def windowed_metrics(s: Sources) -> DataFrame:
     )
 
 
-def _enriched(s: Sources) -> DataFrame:
+def _enriched(s: AnySources) -> DataFrame:
     return timeseries.timeseries_enriched(timeseries.windowed_metrics(_messages_table(s)))
 
 
 @query()
-def timeseries_enriched(s: Sources) -> DataFrame:
+def timeseries_enriched(s: AnySources) -> DataFrame:
     return _enriched(s).select(
         *ROW_ID, "response_timing_category", "conversation_momentum", "is_part_of_streak",
         "is_session_start", "is_first_daily_message", "message_length_category",
@@ -313,7 +314,7 @@ def timeseries_enriched(s: Sources) -> DataFrame:
 
 
 @query()
-def session_starts(s: Sources) -> DataFrame:
+def session_starts(s: AnySources) -> DataFrame:
     return (
         timeseries.windowed_metrics(_messages_table(s))
         .filter(timeseries.session_start())
@@ -322,24 +323,24 @@ def session_starts(s: Sources) -> DataFrame:
 
 
 @query()
-def formatted_message(s: Sources) -> DataFrame:
+def formatted_message(s: AnySources) -> DataFrame:
     line = timeseries.formatted_message().alias("formatted_message")
     return _enriched(s).select(*ROW_ID, line)
 
 
 @query()
-def temporal_context(s: Sources) -> DataFrame:
+def temporal_context(s: AnySources) -> DataFrame:
     sentence = timeseries.temporal_context().alias("temporal_context")
     return _enriched(s).select(*ROW_ID, sentence)
 
 
 @query()
-def mart_message_timeseries(s: Sources) -> DataFrame:
+def mart_message_timeseries(s: AnySources) -> DataFrame:
     return timeseries.mart_message_timeseries(_messages_table(s))
 
 
 @query()
-def mart_message_timeseries_named(s: Sources) -> DataFrame:
+def mart_message_timeseries_named(s: AnySources) -> DataFrame:
     return timeseries.mart_message_timeseries(
         _messages_table(s), first_name=NAMED_CONTACT, ordered=True
     )
@@ -349,7 +350,7 @@ def mart_message_timeseries_named(s: Sources) -> DataFrame:
 
 
 @query(replies=True)
-def int_message_threads(s: Sources) -> DataFrame:
+def int_message_threads(s: AnySources) -> DataFrame:
     return threads.message_threads(staging.stg_message(s.message))
 
 
@@ -357,42 +358,42 @@ def int_message_threads(s: Sources) -> DataFrame:
 
 
 @query()
-def dq_unique(s: Sources) -> DataFrame:
+def dq_unique(s: AnySources) -> DataFrame:
     return quality.unique(_messages(s), "message_id")
 
 
 @query()
-def dq_not_null(s: Sources) -> DataFrame:
+def dq_not_null(s: AnySources) -> DataFrame:
     return quality.not_null(_messages(s), "first_name").select(ROW_ID)
 
 
 @query()
-def dq_accepted_values(s: Sources) -> DataFrame:
+def dq_accepted_values(s: AnySources) -> DataFrame:
     return quality.accepted_values(_messages(s), "service", ["iMessage", "RCS"]).select(
         *ROW_ID, "service"
     )
 
 
 @query()
-def dq_accepted_range(s: Sources) -> DataFrame:
+def dq_accepted_range(s: AnySources) -> DataFrame:
     return quality.accepted_range(_messages(s), "read_time_minutes", 2, 30).select(
         *ROW_ID, "read_time_minutes"
     )
 
 
 @query()
-def dq_sequential_values(s: Sources) -> DataFrame:
+def dq_sequential_values(s: AnySources) -> DataFrame:
     return quality.sequential_values(_messages_table(s), "message_id", ["chat_id"])
 
 
 @query()
-def dq_expression(s: Sources) -> DataFrame:
+def dq_expression(s: AnySources) -> DataFrame:
     return quality.expression_is_true(
         _messages(s), "response_time_minutes IS NULL OR response_time_minutes <= 60"
     ).select(*ROW_ID, "response_time_minutes")
 
 
 @query()
-def dq_report(s: Sources) -> DataFrame:
+def dq_report(s: AnySources) -> DataFrame:
     mart = timeseries.mart_message_timeseries(_messages_table(s))
     return contract.timeseries_report(written_once(mart, "mart_message_timeseries"))

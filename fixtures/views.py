@@ -2,6 +2,7 @@
 
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,7 +100,7 @@ def duckdb_ctes() -> dict[str, str]:
 
 @dataclass(frozen=True)
 class Sources:
-    """The source tables of one scale factor."""
+    """The source tables."""
 
     message: DataFrame
     link: DataFrame
@@ -108,36 +109,68 @@ class Sources:
     phone: DataFrame
 
 
-def load(spark: SparkSession, sf_dir: str, replies: bool = False) -> Sources:
-    """The views over whole driver tables, checked against the source declarations.
+class DriverSources:
+    """The same tables as views over whole driver tables, each built when it is first asked for.
 
-    The number of documents goes in as a literal: as a one-row relation it would invite the optimizer
-    to compare every event with every document. ``replies`` fills ``reply_to_guid``, for which the
-    events of a chat are put in sequence, however many there are; otherwise it stays null.
+    ``replies`` fills ``reply_to_guid``, for which the events of a chat are put in sequence, however
+    many there are; otherwise it stays null.
     """
-    tables = {
-        name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
-        for name, schema in DRIVER_TABLES.items()
-    }
-    fill = {**DIALECTS["spark"], "DOCS": "", "N": tables["documents"].count()}
 
-    def view(text: str, **relations: DataFrame) -> DataFrame:
+    def __init__(self, spark: SparkSession, sf_dir: str, replies: bool = False):
+        self._spark = spark
+        self._sf_dir = sf_dir
+        self._replies = replies
+
+    def _table(self, name: str) -> DataFrame:
+        return self._spark.read.schema(DRIVER_TABLES[name]).parquet(f"{self._sf_dir}/{name}.parquet")
+
+    def _view(self, text: str, fill: dict, **relations: DataFrame) -> DataFrame:
+        text = text.format(**DIALECTS["spark"], **fill)
         for name in relations:
             text = re.sub(rf"\b(FROM|JOIN) {name}\b", rf"\1 {{{name}}}", text)
-        return spark.sql(text, **relations)
-
-    ev = view(EV.format(**fill), events=tables["events"])
-    documents, customer = tables["documents"], tables["customer"]
-    texts = {name: text.format(**fill, REPLY="e.reply_to") for name, text in VIEWS.items()}
-    message_events = with_reply_target(ev) if replies else ev.withColumn("reply_to", F.lit(None).cast("string"))
-    built = {
-        schemas.MESSAGE: view(texts[schemas.MESSAGE], ev=message_events, documents=documents),
-        schemas.CHAT_MESSAGE_JOIN: view(texts[schemas.CHAT_MESSAGE_JOIN], ev=ev),
-        schemas.CHAT: view(texts[schemas.CHAT], ev=ev, customer=customer),
-        schemas.CONTACT_RECORD: view(texts[schemas.CONTACT_RECORD], customer=customer),
-        schemas.CONTACT_PHONE: view(texts[schemas.CONTACT_PHONE], customer=customer),
-    }
-    return Sources(*(conform(df, name) for name, df in built.items()))
+        return self._spark.sql(text, **relations)
+
+    def _source(self, name: str, fill: dict | None = None, **relations: DataFrame) -> DataFrame:
+        return conform(self._view(VIEWS[name], fill or {}, **relations), name)
+
+    @cached_property
+    def _ev(self) -> DataFrame:
+        return self._view(EV, {}, events=self._table("events"))
+
+    @cached_property
+    def _customer(self) -> DataFrame:
+        return self._table("customer")
+
+    @cached_property
+    def message(self) -> DataFrame:
+        """The number of documents goes in as a literal.
+
+        As a one-row relation it would invite the optimizer to compare every event with every document.
+        """
+        documents = self._table("documents")
+        ev = with_reply_target(self._ev) if self._replies else self._ev
+        fill = {
+            "DOCS": "",
+            "N": documents.count(),
+            "REPLY": "e.reply_to" if self._replies else "cast(NULL AS string)",
+        }
+        return self._source(schemas.MESSAGE, fill, ev=ev, documents=documents)
+
+    @cached_property
+    def link(self) -> DataFrame:
+        return self._source(schemas.CHAT_MESSAGE_JOIN, ev=self._ev)
+
+    @cached_property
+    def chat(self) -> DataFrame:
+        return self._source(schemas.CHAT, ev=self._ev, customer=self._customer)
+
+    @cached_property
+    def record(self) -> DataFrame:
+        return self._source(schemas.CONTACT_RECORD, customer=self._customer)
+
+    @cached_property
+    def phone(self) -> DataFrame:
+        return self._source(schemas.CONTACT_PHONE, customer=self._customer)
 
 
 def with_reply_target(ev: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def stg_chat(chat: DataFrame) -> DataFrame:
 
 
 def stg_chat_message_join(link: DataFrame) -> DataFrame:
-    return link.select(schemas.required(schemas.CHAT_MESSAGE_JOIN).names)
+    return link.select(*schemas.required(schemas.CHAT_MESSAGE_JOIN))
 
 
 def stg_attributed_body(cleaned: DataFrame) -> DataFrame:

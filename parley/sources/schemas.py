@@ -1,7 +1,5 @@
 """Declared columns of the source tables. Required columns come first; the rest may be absent."""
 
-from pyspark.sql import types as T
-
 MESSAGE = "message"
 CHAT_MESSAGE_JOIN = "chat_message_join"
 CHAT = "chat"
@@ -37,9 +35,15 @@ DECLARED = {
 }
 
 
-def required(table: str) -> T.StructType:
-    return T.StructType.fromDDL(DECLARED[table][0])
+def required(table: str) -> dict[str, str]:
+    """Name and type of the columns a table must have."""
+    return _columns(DECLARED[table][0])
+
+
+def optional(table: str) -> dict[str, str]:
+    """Name and type of the columns that are null where a table lacks them."""
+    return _columns(DECLARED[table][1])
 
 
-def optional(table: str) -> T.StructType:
-    return T.StructType.fromDDL(DECLARED[table][1])
+def _columns(ddl: str) -> dict[str, str]:
+    return dict(column.split() for column in ddl.split(",") if column)

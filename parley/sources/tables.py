@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parley.sources import schemas
@@ -15,19 +15,20 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     optional ones become typed nulls, columns beyond the declaration are kept as they are.
     """
     present = {name.lower(): name for name in df.columns}
-    missing = [field.name for field in schemas.required(table) if field.name not in present]
+    missing = [name for name in schemas.required(table) if name not in present]
     if missing:
         raise ValueError(f"{table} lacks the columns {', '.join(missing)}")
-    declared = [*schemas.required(table), *schemas.optional(table)]
-    typed = [
-        (F.col(f"`{present[field.name]}`") if field.name in present else F.lit(None))
-        .cast(field.dataType)
-        .alias(field.name)
-        for field in declared
-    ]
-    known = {field.name for field in declared}
-    beyond = [F.col(f"`{name}`") for low, name in present.items() if low not in known]
-    return df.select(*typed, *beyond)
+    declared = {**schemas.required(table), **schemas.optional(table)}
+    actual = dict(df.dtypes)
+
+    def typed(name: str, kind: str) -> Column:
+        if name not in present:
+            return F.lit(None).cast(kind).alias(name)
+        column = F.col(f"`{present[name]}`")
+        return (column if actual[present[name]] == kind else column.cast(kind)).alias(name)
+
+    beyond = [F.col(f"`{name}`") for low, name in present.items() if low not in declared]
+    return df.select(*[typed(name, kind) for name, kind in declared.items()], *beyond)
 
 
 def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -34,22 +34,21 @@ def chat(rowid, identifier="+15550000001", display_name=None):
 
 
 def sources(spark, messages, chats=(chat(1),), records=(), phones=(), links=None):
-    message_schema = schemas.required(schemas.MESSAGE)
-    for field in schemas.optional(schemas.MESSAGE):
-        message_schema = message_schema.add(field)
-    rows = [tuple(m[name] for name in message_schema.names) for m in messages]
+    message_ddl = ", ".join(schemas.DECLARED[schemas.MESSAGE])
+    columns = [*schemas.required(schemas.MESSAGE), *schemas.optional(schemas.MESSAGE)]
+    rows = [tuple(m[name] for name in columns) for m in messages]
     if links is None:
         links = [(m["chat"], m["rowid"], m["date"]) for m in messages]
 
-    def table(name, data, schema):
-        return conform(spark.createDataFrame(list(data), schema), name)
+    def table(name, data, ddl=None):
+        return conform(spark.createDataFrame(list(data), ddl or schemas.DECLARED[name][0]), name)
 
     return Sources(
-        message=table(schemas.MESSAGE, rows, message_schema),
-        link=table(schemas.CHAT_MESSAGE_JOIN, links, schemas.required(schemas.CHAT_MESSAGE_JOIN)),
-        chat=table(schemas.CHAT, chats, schemas.required(schemas.CHAT)),
-        record=table(schemas.CONTACT_RECORD, records, schemas.required(schemas.CONTACT_RECORD)),
-        phone=table(schemas.CONTACT_PHONE, phones, "zowner bigint, zfullnumber string, zorderingindex int"),
+        message=table(schemas.MESSAGE, rows, message_ddl),
+        link=table(schemas.CHAT_MESSAGE_JOIN, links),
+        chat=table(schemas.CHAT, chats),
+        record=table(schemas.CONTACT_RECORD, records),
+        phone=table(schemas.CONTACT_PHONE, phones),
     )
 
 

@@ -18,7 +18,7 @@ def test_conform_types_fills_and_keeps(spark):
 
 
 def test_absent_optional_columns_become_nulls(spark):
-    raw = spark.createDataFrame([(1, "g", "i", "s", None)], schemas.required(schemas.CHAT))
+    raw = spark.createDataFrame([(1, "g", "i", "s", None)], schemas.DECLARED[schemas.CHAT][0])
     chat = staging.stg_chat(tables.conform(raw, schemas.CHAT))
     assert len(chat.columns) == 28
     row = chat.first()
