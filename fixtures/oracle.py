@@ -1,12 +1,12 @@
 """The expected results, as plain DuckDB SQL over the driver tables.
 
 Each query is a chain of CTEs in front of one SELECT. The chain repeats the models in ordinary SQL:
-one window per chat, the fan-out of contacts before the windows, a recursive walk for threads. It
-shares nothing with the Spark jobs but the contract lists.
+one window per chat, the fan-out of contacts before the windows, a recursive walk for threads. With the
+Spark jobs it shares only lists: thresholds with their labels, column names and the contract.
 """
 
 from fixtures.views import duckdb_ctes
-from parley.plans import contract
+from parley.plans import contract, conversations, timeseries
 from parley.sources import schemas
 
 AS_OF = "DATE '2024-02-02'"
@@ -14,6 +14,33 @@ NAMED_CONTACT = "Customer#000000000"
 
 CHAT_ORDER = "PARTITION BY chat_id ORDER BY message_date, message_id, contact_phone_number, first_name, last_name"
 
+
+
+def ladder(value: str, comparison: str, bounds: list, otherwise: str) -> str:
+    """A searched CASE over (bound, label) pairs."""
+    steps = " ".join(f"WHEN {value} {comparison} {bound} THEN '{label}'" for bound, label in bounds)
+    return f"CASE {steps} ELSE '{otherwise}' END"
+
+
+ACTIVITY = ladder(
+    "date_diff('microsecond', last_message_date, as_of_midnight)",
+    "<=",
+    [(f"{days} * 86400000000", label) for days, label in conversations.RECENCY],
+    "dormant",
+)
+ENGAGEMENT = (
+    "CASE "
+    + " ".join(
+        f"WHEN total_messages >= {volume} AND messages_per_active_day >= {pace} THEN '{label}'"
+        for volume, pace, label in conversations.ENGAGEMENT
+    )
+    + " ELSE 'minimal_engagement' END"
+)
+RESPONDER = ladder("avg_response_time_minutes", "<=", conversations.RESPONDERS, "slow_responder")
+GAP = ladder("minutes_since_prev_message", "<=", timeseries.GAP_CLASSES, "delayed_response")
+MOMENTUM = ladder("messages_last_10", ">=", timeseries.MOMENTUM_CLASSES, "minimal_momentum")
+LENGTH = ladder("length(message_text)", "<=", timeseries.LENGTH_CLASSES, "very_long")
+
 MODELS = {
     "stg_contacts": """
 SELECT DISTINCT zfirstname AS first_name, zlastname AS last_name, zfullnumber AS full_number
@@ -116,24 +143,15 @@ SELECT *, messages_sent::DOUBLE / total_messages AS sent_ratio,
   messages_with_attachments::DOUBLE / total_messages AS attachment_rate
 FROM conversation_base""",
     "conversation_enriched": f"""
-SELECT *,
-  CASE WHEN last_message_date >= {AS_OF} - INTERVAL 7 DAY THEN 'very_active'
-    WHEN last_message_date >= {AS_OF} - INTERVAL 30 DAY THEN 'active'
-    WHEN last_message_date >= {AS_OF} - INTERVAL 90 DAY THEN 'moderately_active'
-    WHEN last_message_date >= {AS_OF} - INTERVAL 365 DAY THEN 'inactive' ELSE 'dormant' END AS activity_status,
-  CASE WHEN total_messages >= 1000 AND messages_per_active_day >= 10 THEN 'high_engagement'
-    WHEN total_messages >= 100 AND messages_per_active_day >= 5 THEN 'medium_engagement'
-    WHEN total_messages >= 10 THEN 'low_engagement' ELSE 'minimal_engagement' END AS engagement_level,
-  CASE WHEN avg_response_time_minutes <= 5 THEN 'immediate_responder'
-    WHEN avg_response_time_minutes <= 60 THEN 'quick_responder'
-    WHEN avg_response_time_minutes <= 1440 THEN 'daily_responder' ELSE 'slow_responder' END AS response_behavior,
+SELECT * EXCLUDE (as_of_midnight), {ACTIVITY} AS activity_status, {ENGAGEMENT} AS engagement_level,
+  {RESPONDER} AS response_behavior,
   CASE WHEN imessage_count::DOUBLE / total_messages > 0.8 THEN 'prefers_imessage'
     WHEN sms_count::DOUBLE / total_messages > 0.8 THEN 'prefers_sms' ELSE 'mixed_messaging' END AS messaging_preference,
   (last_sent_date > last_received_date) IS TRUE AS last_message_was_sent,
-  date_diff('day', last_message_date, {AS_OF}) AS days_since_last_message,
-  date_diff('day', last_sent_date, {AS_OF}) AS days_since_last_sent,
-  date_diff('day', last_received_date, {AS_OF}) AS days_since_last_received
-FROM conversation_ratios""",
+  date_diff('day', last_message_date, as_of_midnight) AS days_since_last_message,
+  date_diff('day', last_sent_date, as_of_midnight) AS days_since_last_sent,
+  date_diff('day', last_received_date, as_of_midnight) AS days_since_last_received
+FROM (SELECT *, {AS_OF}::TIMESTAMP AS as_of_midnight FROM conversation_ratios)""",
     "recent_message_preview": """
 SELECT chat_id, string_agg(line, ' | ' ORDER BY rank) AS recent_message_preview
 FROM (
@@ -177,21 +195,14 @@ SELECT *, lag(message_date) OVER w AS prev_message_date, lag(is_from_me) OVER w
   avg(length(message_text)) OVER (w ROWS 4 PRECEDING) AS avg_length_last_5_messages,
   first_value(message_date) OVER w AS first_message_date
 FROM message_base WINDOW w AS ({CHAT_ORDER})""",
-    "timeseries_enriched": """
+    "timeseries_enriched": f"""
 SELECT *,
-  CASE WHEN minutes_since_prev_message IS NULL THEN 'conversation_start'
-    WHEN minutes_since_prev_message <= 2 THEN 'immediate_follow_up'
-    WHEN minutes_since_prev_message <= 15 THEN 'quick_response'
-    WHEN minutes_since_prev_message <= 60 THEN 'within_hour'
-    WHEN minutes_since_prev_message <= 1440 THEN 'within_day' ELSE 'delayed_response' END AS response_timing_category,
-  CASE WHEN messages_last_10 >= 8 THEN 'high_momentum' WHEN messages_last_10 >= 4 THEN 'medium_momentum'
-    WHEN messages_last_10 >= 2 THEN 'low_momentum' ELSE 'minimal_momentum' END AS conversation_momentum,
+  if(minutes_since_prev_message IS NULL, 'conversation_start', {GAP}) AS response_timing_category,
+  {MOMENTUM} AS conversation_momentum,
   (is_consecutive_message AND prev_message_from_me = is_from_me) IS TRUE AS is_part_of_streak,
   coalesce(minutes_since_prev_message > 30, TRUE) AS is_session_start,
   daily_message_sequence = 1 AS is_first_daily_message,
-  CASE WHEN length(message_text) <= 10 THEN 'very_short' WHEN length(message_text) <= 50 THEN 'short'
-    WHEN length(message_text) <= 200 THEN 'medium' WHEN length(message_text) <= 500 THEN 'long'
-    ELSE 'very_long' END AS message_length_category,
+  {LENGTH} AS message_length_category,
   cumulative_messages_in_conversation::DOUBLE
     / (date_diff('day', first_message_date, message_date) + 1) AS messages_per_day_to_date
 FROM windowed_metrics""",
@@ -204,23 +215,13 @@ SELECT *, coalesce(partner_display_name, chat_identifier) AS contact_name,
   concat('Message ', message_sequence, ' in conversation with ', partner_display_name, '. Sent on ',
     day_name, ' at ', time_of_day, ' (' || response_time_minutes || ' min response time)') AS temporal_context
 FROM timeseries_enriched""",
-    "mart_message_timeseries": "SELECT {timeseries_columns} FROM timeseries_lines",
+    "mart_message_timeseries": f"SELECT {', '.join(timeseries.TIMESERIES_COLUMNS)} FROM timeseries_lines",
     "thread_chain": """
 SELECT guid, guid AS root, 0::BIGINT AS depth FROM message WHERE reply_to_guid IS NULL
 UNION ALL
 SELECT m.guid, c.root, c.depth + 1 FROM message m JOIN thread_chain c ON m.reply_to_guid = c.guid""",
 }
 
-
-def _fill_timeseries_columns() -> None:
-    from parley.plans.timeseries import TIMESERIES_COLUMNS
-
-    name = "mart_message_timeseries"
-    MODELS[name] = MODELS[name].format(timeseries_columns=", ".join(TIMESERIES_COLUMNS))
-
-
-_fill_timeseries_columns()
-
 DUCKDB_TYPES = {"bigint": "BIGINT", "binary": "BLOB", "string": "VARCHAR"}
 OPTIONAL_CHAT = ", ".join(
     f"NULL::{DUCKDB_TYPES[kind]} AS {name}" for name, kind in schemas.optional(schemas.CHAT).items()

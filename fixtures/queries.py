@@ -1,5 +1,6 @@
 """One query per operator and model, over the whole driver tables."""
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import wraps
@@ -106,7 +107,7 @@ def int_attributed_body(s: AnySources) -> DataFrame:
 def sink_roundtrip(s: AnySources) -> DataFrame:
     normalized = _contacts(s)
     spark = normalized.sparkSession
-    path = f"{shared_folder(spark)}/sink_roundtrip"
+    path = f"{shared_folder(spark)}/sink_roundtrip-{uuid.uuid4().hex}"
     write_table(normalized, path, partition_by=["phone_type"])
     return spark.read.parquet(path)
 

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from parley.plans import pipeline
+from parley.plans import rebuild
 from parley.sources import schemas
 from tests.handmade import chat, message, sources
 
@@ -25,7 +25,7 @@ def landed(spark, tmp_path):
 
 def test_rebuild_writes_all_models_and_can_run_again(spark, landed):
     for first_name, rows in [(None, 39), ("Ann", 39), ("Bek", 0)]:
-        models = pipeline.rebuild(
+        models = rebuild.rebuild(
             spark, str(landed / "source"), str(landed / "models"), date(2024, 2, 2), first_name
         )
         assert models["mart_message_timeseries"].count() == rows

@@ -100,3 +100,25 @@ def test_unknown_partner_drops_out(spark):
         table(spark, messages, chats=[chat(1), chat(2, None, " ")])
     )
     assert [r.chat_id for r in mart.collect()] == [1]
+
+
+def test_class_edges(spark):
+    gaps = [2, 3, 15, 16, 60, 61, 1440, 1441, 1, 1]
+    lengths = [10, 11, 50, 51, 200, 201, 500, 501, 1, 1, 1]
+    at = datetime(2024, 1, 1)
+    messages = []
+    for i, length in enumerate(lengths):
+        messages.append(message(i, at, text="x" * length))
+        at += timedelta(minutes=gaps[i] if i < len(gaps) else 0)
+    rows = by_sequence(timeseries.mart_message_timeseries(table(spark, messages)))
+    assert [r.response_timing_category for r in rows] == [
+        "conversation_start", "immediate_follow_up", "quick_response", "quick_response",
+        "within_hour", "within_hour", "within_day", "within_day", "delayed_response",
+        "immediate_follow_up", "immediate_follow_up",
+    ]
+    assert [r.message_length_category for r in rows[:8]] == [
+        "very_short", "short", "short", "medium", "medium", "long", "long", "very_long",
+    ]
+    momentum = ["minimal_momentum"] + ["low_momentum"] * 2 + ["medium_momentum"] * 4 + ["high_momentum"] * 4
+    assert [r.conversation_momentum for r in rows] == momentum
+    assert [r.messages_last_10 for r in rows] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 10]
