@@ -46,14 +46,14 @@ def split_points(
 ) -> DataFrame:
     """Where to cut the large groups: (group, sorted array of position keys).
 
-    ``keys`` holds (group, ``at``, tie). A fixed fraction of it, chosen by hash, is sorted per group and
-    every n-th key becomes a cut. The result holds one key per ``rows_per_segment`` input rows at most,
-    and no row for the groups that stay whole, so it is small enough to broadcast: 10^12 rows give
-    500,000 keys of 16 bytes.
+    ``keys`` holds (group, ``at``, tie). A fixed fraction of it, chosen by a hash of ``tie``, is sorted
+    per group and every n-th key becomes a cut. The result holds one key per ``rows_per_segment`` input
+    rows at most, and no row for the groups that stay whole, so it is small enough to broadcast: 10^12
+    rows give 500,000 keys of 16 bytes.
     """
     rate = max(1, rows_per_segment // SAMPLES_PER_SEGMENT)
     nth = max(1, rows_per_segment // rate)
-    sampled = keys.filter(F.pmod(F.xxhash64(group, tie), F.lit(rate)) == 0).select(
+    sampled = keys.filter(F.pmod(F.xxhash64(tie), F.lit(rate)) == 0).select(
         group, position_key(F.col("at"), F.col(tie)).alias("key")
     )
     counted = sampled.withColumn(

@@ -62,6 +62,30 @@ def messages_with_contacts(
     return chat_messages(message, link).join(directory, "chat_id").drop("contact_rank", "contact_count")
 
 
+def _in_order() -> tuple:
+    """Messages of a chat, by date and id, with what their neighbours need of them."""
+    return "chat_id", micros(F.col("message_date")), "message_id", CONTEXT
+
+
+def chat_cuts(message: DataFrame, link: DataFrame, rows_per_segment: int) -> segments.Cuts:
+    """Where to cut large chats.
+
+    Places the cuts by a sample of message ids and dates. The sample is a condition on the id, so it
+    thins out both tables before they meet; the link's own date is not used, as old links have none. Texts
+    are read only for the chats that are cut.
+    """
+    dates = message.select(
+        F.col("rowid").alias("message_id"), micros(epoch_ns(F.col("date"))).alias("at")
+    )
+    return segments.cut_groups(
+        chat_messages(message, link),
+        *_in_order(),
+        rows_per_segment,
+        keys=link.select("chat_id", "message_id").join(dates, "message_id"),
+        rows_of=lambda chats: chat_messages(message, link.join(chats, "chat_id", "left_semi")),
+    )
+
+
 def message_context(
     message: DataFrame,
     link: DataFrame,
@@ -77,18 +101,9 @@ def message_context(
     position after the multiplication is plain arithmetic and the wide rows are shuffled only once,
     on (chat, segment). The chat directory joins on that same key.
     """
-    # The link table's own date only helps to place the cuts; the order is that of the message date.
-    keys = link.select("chat_id", micros(epoch_ns(F.col("message_date"))).alias("at"), "message_id")
     messages = chat_messages(message, link)
-    in_order = ("chat_id", micros(F.col("message_date")), "message_id", CONTEXT)
-    cuts = segments.cut_groups(
-        messages,
-        *in_order,
-        rows_per_segment,
-        keys=keys,
-        rows_of=lambda chats: chat_messages(message, link.join(chats, "chat_id", "left_semi")),
-    )
-    numbered = segments.sequence_rows(messages, *in_order, cuts)
+    cuts = chat_cuts(message, link, rows_per_segment)
+    numbered = segments.sequence_rows(messages, *_in_order(), cuts)
     directory = segments.every_segment(
         chat_contacts(chat_identity(chat), contacts, dedupe_contacts), "chat_id", cuts
     )

@@ -114,7 +114,6 @@ def test_message_in_two_chats(spark):
 
 @pytest.mark.parametrize("rows_per_segment", [2, 7, 40])
 def test_cut_chats_give_the_same_messages(spark, rows_per_segment):
-    """Cuts come from the link's date, which need not agree with the message's."""
     many = [
         message(i, f"2024-01-{1 + i % 9:02d} 0{i % 7}:00:00" if i % 11 else None, sent=i * i % 3 % 2)
         for i in range(1, 150)
@@ -126,6 +125,14 @@ def test_cut_chats_give_the_same_messages(spark, rows_per_segment):
     assert [r.message_sequence for r in whole if r.chat_id == 1] == list(range(1, 299))
 
 
+def test_cuts_do_not_need_the_date_of_the_link(spark):
+    many = [message(i, f"2024-01-{1 + i % 28:02d} 00:00:00") for i in range(400)]
+    s = sources(spark, many, links=[(1, m["rowid"], 0) for m in many])
+    cuts = messages.chat_cuts(s.message, s.link, 50)
+    sizes = cuts.edges.select("segment_rows").collect()
+    assert len(sizes) == 9 and max(r.segment_rows for r in sizes) == 50
+
+
 def test_context_looks_both_ways(spark):
     s = sources(spark, [message(i, f"2024-01-01 0{i}:00:00", sent=i % 2) for i in range(1, 4)])
     from parley.plans import contacts
