@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes of a chunk, as soon as reached; one longer document is a chunk of its own size.
 CHUNK_BYTES = 8 << 20
+#: Documents of a chunk at most; a row's number is its chunk's id, then so many bits for its place.
+PLACE_BITS = 16
 #: Keys that one range of the key space should hold.
 RANGE_KEYS = 2_000_000
 BYTES_PER_KEY = 6
@@ -106,7 +108,7 @@ def chunked(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
             nonlocal held, rows, size, made
             payload = pack_batch(pa.Table.from_batches(held).combine_chunks())
             row = pa.RecordBatch.from_pydict(
-                {"chunk_id": [(partition << 32) + made], "n_rows": [rows], "n_bytes": [size], "payload": [payload]},
+                {"chunk_id": [(partition << 24) + made], "n_rows": [rows], "n_bytes": [size], "payload": [payload]},
                 schema=pa.schema([("chunk_id", pa.int64()), ("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]),
             )
             held, rows, size, made = [], 0, 0, made + 1
@@ -117,10 +119,10 @@ def chunked(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
             at = 0
             while at < len(lengths):
                 reach = np.cumsum(lengths[at:])
-                take = min(int(np.searchsorted(reach, CHUNK_BYTES - size)) + 1, len(lengths) - at)
+                take = min(int(np.searchsorted(reach, CHUNK_BYTES - size)) + 1, len(lengths) - at, (1 << PLACE_BITS) - rows)
                 held.append(batch.slice(at, take))
                 rows, size, at = rows + take, size + int(reach[take - 1]), at + take
-                if size >= CHUNK_BYTES:
+                if size >= CHUNK_BYTES or rows == 1 << PLACE_BITS:
                     yield emit()
         if rows:
             yield emit()

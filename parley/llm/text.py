@@ -120,17 +120,26 @@ def words_of(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words:
     return Words(data, offsets[:-1], starts, ends, np.searchsorted(starts, offsets))
 
 
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of two hashes in their order."""
+    out = (a ^ (a >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    out += b * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(32))
+
+
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of the n values from each place on; the last n - 1 places are left out."""
+    """A 64-bit hash of the n values from each place on; the last n - 1 places are left out. Built by doubling."""
     size = len(hashes) - n + 1
     if size <= 0:
         return np.zeros(0, dtype=np.uint64)
-    out = np.full(size, n * 0x9E3779B97F4A7C15 % 2**64, dtype=np.uint64)
-    for i in range(n):
-        out ^= hashes[i : i + size]
-        out *= np.uint64(0xD6E8FEB86659FD93)
-        out ^= out >> np.uint64(32)
-    return mix(out)
+    power, span, out, have = hashes, 1, None, 0
+    while True:
+        if n & span:
+            out = power[:size] if out is None else joined(out, power[have : have + size])
+            have += span
+        if have == n:
+            return mix(out ^ np.uint64(n))
+        power, span = joined(power[:-span], power[span:]), 2 * span
 
 
 def gram_places(first: np.ndarray, n: int) -> np.ndarray:
