@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parley.llm import packing, quality_rules, substring_dedup
+from parley.llm import jaccard_join, packing, quality_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +33,16 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rows = jaccard_join.jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
