@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import jaccard_join, maxent_lm, packing, quality_rules, substring_dedup
+from parley.llm import jaccard_join, maxent_lm, packing, quality_classifier, quality_rules, substring_dedup, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.substring_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -42,12 +46,18 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent_lm": op1_maxent_lm,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}

@@ -20,6 +20,8 @@ SPAN = 256
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -84,6 +86,13 @@ class Words:
             out[a:b] = np.add.reduceat(terms, edge[:-1]) + lengths.astype(np.uint64) * again
         return mix(out)
 
+    def trim(self) -> None:
+        """Takes punctuation off the ends of words; a word of nothing else keeps a byte."""
+        for _ in range(3):
+            if len(self.starts):
+                self.ends = self.ends - (_MARK[self.data[self.ends - 1]] & (self.ends - self.starts > 1))
+                self.starts = self.starts + (_MARK[self.data[self.starts]] & (self.ends - self.starts > 1))
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 
