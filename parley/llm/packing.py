@@ -18,6 +18,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from itertools import chain
+from math import isqrt
 from types import ModuleType
 
 import numpy as np
@@ -33,8 +34,6 @@ CAPACITY = 4096
 END_ID = 1
 #: Distinct words that a worker process keeps the ids of before it starts over (about 130 bytes each).
 KNOWN_WORDS = 1_000_000
-#: Pieces of a bucket, within which one task numbers the pieces of a length.
-BUCKET_ROWS = 500_000
 #: Plan rows up to which the plan is broadcast (48 bytes each); beyond it Spark chooses the join.
 BROADCAST_ROWS = 200_000
 
@@ -170,7 +169,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     spark = pieces.sparkSession
     per_length = pieces.groupBy("length").count().collect()  # at most capacity rows
     slots = plan({r["length"]: r["count"] for r in per_length}, capacity)
-    buckets = sum(r["count"] for r in per_length) // BUCKET_ROWS + 1
+    # As many buckets as each then has pieces: neither a bucket of a length nor the sums over its buckets is large.
+    buckets = isqrt(sum(r["count"] for r in per_length)) + 1
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)))
     before = (
         dealt.groupBy("length", "bucket")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import jaccard_join, maxent_lm, packing, quality_classifier, quality_rules, substring_dedup, toxicity
+from parley.llm import decontamination, jaccard_join, maxent_lm, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,10 +46,25 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    best = F.max(F.struct("n_matched", (-F.col("n_changed")).alias("unchanged"), "n_item", "n_slots")).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.n_matched", "best.n_item", "best.n_slots", (-F.col("best.unchanged")).alias("n_changed"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_classifier(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: The rules of the contract: (host, path, verdict).
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "rule_host string, rule_path string, rule_verdict string")
+    return url_filters.judged(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent_lm": op1_maxent_lm,
     "op3_quality_rules": op3_quality_rules,
@@ -57,7 +72,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_url_filters": op10_url_filters,
 }
 
 ORACLE: dict[str, str] = {}
