@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, jaccard_join, maxent_lm, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_filters
+from parley.llm import decontamination, jaccard_join, license_scan, maxent_lm, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -67,6 +71,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent_lm": op1_maxent_lm,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_toxicity": op5_toxicity,
@@ -77,4 +82,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filters": op10_url_filters,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_license_scan": license_scan.oracle_sql(),
+}
