@@ -1,0 +1,89 @@
+"""Near duplicates and repeated passages against brute force."""
+
+import hashlib
+
+import pytest
+
+from parley.llm import chunks, components, jaccard_join, substring_dedup
+from tests.llm import brute
+
+
+@pytest.fixture(autouse=True)
+def small(monkeypatch):
+    """Many chunks and groups, also for few rows."""
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 6000)
+
+
+def got_components(docs):
+    _, rows = jaccard_join.jaccard_components(docs)
+    return sorted(((r["doc_id"], r["n"], r["component_id"]) for r in rows.collect()), key=brute.sort_key)
+
+
+@pytest.mark.parametrize("rounds,group,share", [(3, 1 << 20, 2048), (1, 200, 1), (1, 400, 2)])
+def test_components(spark, monkeypatch, rounds, group, share):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "GROUP_SHINGLES", group)
+    monkeypatch.setattr(jaccard_join, "OPEN_ROWS", share)
+    rows = brute.awkward()
+    want, links = brute.jaccard_components(rows)
+    assert links > 30
+    assert got_components(brute.frame(spark, rows).repartition(3)) == sorted(want, key=brute.sort_key)
+
+
+def test_groups_alone_lose_no_link(spark, monkeypatch):
+    """Without the first links, every link has to come from queries to groups."""
+    none = lambda sets, percent: sets.select(sets.node.alias("a"), sets.node.alias("b")).limit(0)
+    monkeypatch.setattr(jaccard_join, "star_links", none)
+    rows = brute.awkward()
+    want, _ = brute.jaccard_components(rows)
+    assert got_components(brute.frame(spark, rows)) == sorted(want, key=brute.sort_key)
+
+
+def test_one_of_each(spark):
+    rows = [r for r in brute.awkward() if r[0] != 8]  # there, two components have one id
+    docs = brute.frame(spark, rows)
+    kept = jaccard_join.first_of_each(docs)
+    assert kept.columns == docs.columns
+    want, _ = brute.jaccard_components(rows)
+    empty = sum(n == 0 for _, n, _ in want)
+    ids = {c for _, n, c in want if n}
+    got = kept.collect()
+    assert len([r for r in got if not brute.words(r["text"])]) == empty
+    assert sorted([r["doc_id"] for r in got if brute.words(r["text"])], key=str) == sorted(ids, key=str)
+
+
+def test_empty_tables(spark):
+    docs = brute.frame(spark, [])
+    assert got_components(docs) == []
+    assert jaccard_join.first_of_each(docs).count() == 0
+    assert substring_dedup.substring_dedup(docs).count() == 0
+    assert substring_dedup.substring_dedup(docs, with_columns=True).columns == docs.columns
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeats(spark):
+    rows = brute.awkward()
+    docs = brute.frame(spark, rows).repartition(3)
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"], sum(s["words"] for s in r["spans"])) for r in substring_dedup.substring_dedup(docs).collect()), key=brute.sort_key)
+    want = []
+    for (doc_id, _), (w, gone) in zip(rows, brute.repeated(rows), strict=True):
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        want.append((doc_id, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest(), sum(gone)))
+    assert sum(w[2] for w in want) > 1000
+    assert got == sorted(want, key=brute.sort_key)
+    texts = {r["doc_id"]: r["text"] for r in substring_dedup.substring_dedup(docs, with_columns=True).collect()}
+    assert texts[13] == dict(rows)[13] and texts[0] is None
+
+
+def test_spans_are_maximal_repeats(spark):
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = brute.frame(spark, [(1, f"a b {passage} c"), (2, f"{passage} d"), (3, "e " + passage.split(" ", 6)[-1])], extra=False)
+    spans = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in substring_dedup.substring_dedup(docs).collect()}
+    assert spans == {1: [(2, 40)], 2: [(0, 40)], 3: []}
+
+
+def test_connected(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 300), (7, 7), (None, 3), (100, 200)] + [(500, 600 + i) for i in range(50)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {i: 1 for i in range(1, 41)} | {100: 100, 200: 100, 300: 100, 500: 500} | {600 + i: 500 for i in range(50)}
+    assert got == want
