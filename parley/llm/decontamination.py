@@ -106,5 +106,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no item of the benchmark."""
-    leaks = matches(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct()
-    return docs.join(leaks, F.xxhash64(F.col("text").cast("string")).eqNullSafe(F.col("leak_key")) & F.col("doc_id").eqNullSafe(F.col("leak_id")), "left_anti")
+    leaks = matches(docs, benchmark).select("doc_id", "text_key").distinct().alias("leaks")
+    own = docs.alias("own")
+    same = F.xxhash64(F.col("own.text").cast("string")).eqNullSafe(F.col("leaks.text_key")) & F.col("own.doc_id").eqNullSafe(F.col("leaks.doc_id"))
+    return own.join(leaks, same, "left_anti")

@@ -1,7 +1,7 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Features of a text: its distinct words, pairs of neighbours and pairs around one word, lower-cased, without marks at
-the ends of words, hashed to 2**BITS coordinates. Learning uses a bounded sample of labelled rows, dealt to SHARDS tasks;
+the ends of words, hashed to 2**BITS coordinates. Learning uses a bounded sample of labelled rows, dealt to tasks of about SHARD_ROWS;
 each runs the per-coordinate FTRL updates over its part, and the states (z, n) are averaged, so that L1 decides on the
 average. The few weights that stay travel with the scoring tasks.
 
@@ -19,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.chunks import pack_numbers, unpack_numbers
+from parley.llm.chunks import pack_numbers, settled, unpack_numbers
 from parley.llm.maxent_lm import folds
 from parley.llm.text import first_of, joined, mix, slices, words_of
 
 BITS = 20
 #: Labelled rows that are learnt from at most: those with the lowest hashes.
 SAMPLE_ROWS = 20_000
-SHARDS, EPOCHS, BATCH_TEXTS = 4, 3, 64
+#: Texts that one task learns from, about.
+SHARD_ROWS, EPOCHS, BATCH_TEXTS = 5_000, 3, 64
 ALPHA, BETA, L2 = 1.0, 1.0, 1.0
 #: L1 for each text of a shard: what a few copies of one mislabelled text teach stays below it.
 L1_SHARE = 0.008
@@ -97,7 +98,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, folds_: int, held_o
         .limit(rows)
     )
     # At most rows ids and labels: a few hundred kB. Copies of an id count once, by the first text.
-    found = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).groupBy("label_id").agg(F.first("label").alias("label"), F.min(F.col("text").cast("string")).alias("text"))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).groupBy("label_id").agg(F.first("label").alias("label"), F.min(F.col("text").cast("string")).alias("text"))
     # Equal texts teach once.
     return found.groupBy("text").agg(F.min(F.struct("label_id", "label")).alias("one")).select("one.label_id", "one.label", "text")
 
@@ -121,7 +122,9 @@ def fit(docs: DataFrame, labels: DataFrame, folds_: int, held_out: int, label: s
         block = table.column("block")[0].as_py()
         return pa.table({"coordinate": at + block * ((1 << BITS) // BLOCKS), "weight": w[at]})
 
-    dealt = sample.withColumn("shard", F.pmod(F.xxhash64("label_id", F.lit(3)), F.lit(SHARDS)))
+    sample = settled(sample)  # SAMPLE_ROWS texts at most
+    shards = -(-sample.count() // SHARD_ROWS)
+    dealt = sample.withColumn("shard", F.pmod(F.xxhash64("label_id", F.lit(3)), F.lit(max(1, shards))))
     kept = dealt.groupBy("shard").applyInArrow(states, "block long, l1 double, z binary, n binary").groupBy("block").applyInArrow(average, "coordinate long, weight double").toPandas()
     kept = kept.sort_values("coordinate")  # 2**BITS rows at most, after L1 some thousands
     return kept["coordinate"].to_numpy(), kept["weight"].to_numpy()
