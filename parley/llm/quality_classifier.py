@@ -30,7 +30,7 @@ BITS, DIM, NONZERO, REACH = 14, 48, 4, 2
 #: Neighbours whose likeness is pooled; columns of a pooled document.
 NEAR = 3
 POOLED = 2 * DIM + NEAR + 2
-BLOCKS, FAN_IN = 8, 32
+BLOCKS, FAN_IN = 8, 16
 SAMPLE_ROWS = 20_000
 HIDDEN, EPOCHS, BATCH_ROWS, RATE, DECAY, SEED = 32, 40, 128, 2e-3, 1e-4, 11
 
