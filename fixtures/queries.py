@@ -1,6 +1,5 @@
 """One query per operator and model, over the whole driver tables."""
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import wraps
@@ -13,7 +12,7 @@ from fixtures.views import DriverSources, Sources
 from parley.functions import moments, phones, texts
 from parley.operators import quality
 from parley.plans import contacts, contract, conversations, messages, staging, threads, timeseries
-from parley.session import prepare, shared_folder, written_once
+from parley.session import cut_lineage, shared_folder
 from parley.sources import schemas
 from parley.sources.tables import conform, write_table
 
@@ -31,7 +30,7 @@ def query(*, replies: bool = False) -> Callable[[Callable[[AnySources], DataFram
     def register(build: Callable[[AnySources], DataFrame]) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(DriverSources(prepare(spark), sf_dir, replies))
+            return build(DriverSources(spark, sf_dir, replies))
 
         QUERIES[build.__name__] = run
         return run
@@ -56,8 +55,8 @@ def _messages(s: AnySources, **options) -> DataFrame:
 
 
 def _messages_table(s: AnySources) -> DataFrame:
-    """The message table as models that read it more than once find it: written."""
-    return written_once(_messages(s), "int_messages")
+    """The message table for models that read it more than once: settled."""
+    return cut_lineage(_messages(s))
 
 
 # Sources, staging, sinks
@@ -107,7 +106,7 @@ def int_attributed_body(s: AnySources) -> DataFrame:
 def sink_roundtrip(s: AnySources) -> DataFrame:
     normalized = _contacts(s)
     spark = normalized.sparkSession
-    path = f"{shared_folder(spark)}/sink_roundtrip-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/sink_roundtrip"  # replaced by every run
     write_table(normalized, path, partition_by=["phone_type"])
     return spark.read.parquet(path)
 
@@ -397,4 +396,4 @@ def dq_expression(s: AnySources) -> DataFrame:
 @query()
 def dq_report(s: AnySources) -> DataFrame:
     mart = timeseries.mart_message_timeseries(_messages_table(s))
-    return contract.timeseries_report(written_once(mart, "mart_message_timeseries"))
+    return contract.timeseries_report(cut_lineage(mart))

@@ -1,7 +1,7 @@
 """Dates and times.
 
-All of it assumes ``spark.sql.session.timeZone=UTC`` (see ``parley.session``): timestamps are naive
-(``timestamp_ntz``) and pass through zoned functions such as ``date_trunc`` unchanged only in UTC.
+Timestamps are naive (``timestamp_ntz``) and never pass through the session's zone: everything is built from
+calendar parts, date arithmetic and intervals, so results are the same in every zone.
 """
 
 from pyspark.sql import Column
@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from parley.functions.rules import between_rule
 
-# Fixed value: microseconds from 1970-01-01 to 2001-01-01, the epoch of the message store.
-STORE_EPOCH_MICROS = 978_307_200_000_000
-
+# The English names of the days, and the parts of the day and week below. The store's epoch is 2001-01-01.
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 
 
@@ -26,7 +24,7 @@ def epoch_ns(ns: Column) -> Column:
     with an engine that adds a fractional-second interval.
     """
     micros = F.rint(ns / F.lit(1e9) * F.lit(1e6)).cast("bigint")
-    return naive(F.timestamp_micros(micros + F.lit(STORE_EPOCH_MICROS)))
+    return F.expr("timestamp_ntz '2001-01-01 00:00:00'") + micros * F.expr("interval '0.000001' second")
 
 
 def epoch_ns_or_null(ns: Column) -> Column:
@@ -34,24 +32,30 @@ def epoch_ns_or_null(ns: Column) -> Column:
     return F.when(ns != 0, epoch_ns(ns))
 
 
-def micros(ts: Column) -> Column:
-    """Naive timestamp -> microseconds since 1970."""
-    return F.unix_micros(ts.cast("timestamp"))
+def _minutes(ts: Column) -> Column:
+    """Whole minutes since 1970."""
+    return (F.unix_date(F.to_date(ts)) * 1440 + F.hour(ts) * 60 + F.minute(ts)).cast("bigint")
 
 
-def _boundaries_between(unit_micros: int, start: Column, end: Column) -> Column:
-    tick = lambda ts: F.floor(micros(ts) / F.lit(unit_micros)).cast("bigint")
-    return tick(end) - tick(start)
+def _seconds(ts: Column) -> Column:
+    """Whole seconds since 1970."""
+    return _minutes(ts) * 60 + F.second(ts)
+
+
+def micros(ts: Column) -> Column:
+    """Naive timestamp -> microseconds since 1970."""
+    second = F.extract(F.lit("SECOND"), ts)
+    return _minutes(ts) * 60_000_000 + (second * 1_000_000).cast("bigint")
 
 
 def minutes_between(start: Column, end: Column) -> Column:
     """Minute boundaries crossed: 00:00:59 to 00:01:00 is 1."""
-    return _boundaries_between(60_000_000, start, end)
+    return _minutes(end) - _minutes(start)
 
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed."""
-    return _boundaries_between(1_000_000, start, end)
+    return _seconds(end) - _seconds(start)
 
 
 def days_between(start: Column, end: Column) -> Column:
@@ -61,11 +65,11 @@ def days_between(start: Column, end: Column) -> Column:
 def truncated(unit: str, ts: Column) -> Column:
     """Start of the hour, day, week (Monday), month, quarter or year.
 
-    From the day up this is date arithmetic, cheaper than truncating a zoned timestamp.
+    This is date arithmetic, as truncating passes through the session's zone.
     """
-    if unit == "hour":
-        return naive(F.date_trunc(unit, ts))
     day = F.to_date(ts)
+    if unit == "hour":
+        return naive(day) + F.hour(ts) * F.expr("interval '1' hour")
     return naive(day if unit == "day" else F.trunc(day, unit))
 
 

@@ -1,47 +1,26 @@
-"""Session settings the jobs rely on, and the shared folder for cut lineage."""
-
-import tempfile
-import uuid
+"""Where lineage is cut: the folder that all executors share."""
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the zone naive timestamps pass through. Sizing is left to the cluster's own settings."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``; without the setting, one in the warehouse.
 
-    Only a local session without the setting gets a temporary folder: on a cluster a machine-local
-    folder would be lost with its machine.
+    Both are shared by the executors, so behaviour is the same on any master.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="parley-")
+    folder = context.getCheckpointDir() or context.getConf().get("spark.checkpoint.dir")
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, written now."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Reliable checkpoint in the shared folder, written now; a lost executor re-reads files.
 
-
-def written_once(df: DataFrame, name: str) -> DataFrame:
-    """Write a model that several readers share as a table, and read it back.
-
-    Later readers scan only the columns and row groups they need and the joins and windows behind the
-    model run once; a lost executor re-reads files instead of recomputing them.
+    Spark removes the files with the last reference where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)

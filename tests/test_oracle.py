@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from fixtures import oracle
+from fixtures.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -30,10 +32,11 @@ def comparable(rows):
 
 
 def test_each_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    """The training-data operators say for themselves where SQL can express them."""
+    assert set(QUERIES) == set(oracle.oracle_sql()) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry_point.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     result = entry_point.queries()[name](spark, SF_DIR)
     expected = duck.sql(entry_point.oracle_sql()[name])

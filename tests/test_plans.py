@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 
 from parley.plans import conversations, messages, staging, timeseries
-from parley.session import written_once
+from parley.session import cut_lineage
 from tests.handmade import chat, int_messages, message, sources
 
 
@@ -13,7 +13,7 @@ from tests.handmade import chat, int_messages, message, sources
 def table(spark):
     rows = [message(i, f"2024-01-01 00:{i:02d}:00", sent=i % 2) for i in range(30)]
     s = sources(spark, rows, [chat(1)], [(1, "Ann", None)], [(1, "5550000001", 0)])
-    return written_once(int_messages(s), "messages")
+    return cut_lineage(int_messages(s))
 
 
 @pytest.fixture

@@ -3,12 +3,12 @@ from datetime import datetime, timedelta
 import pytest
 
 from parley.plans import timeseries
-from parley.session import written_once
+from parley.session import cut_lineage
 from tests.handmade import by_sequence, chat, int_messages, message, sources
 
 
 def table(spark, messages, **options):
-    return written_once(int_messages(sources(spark, messages, **options)), "messages")
+    return cut_lineage(int_messages(sources(spark, messages, **options)))
 
 
 @pytest.fixture(scope="module")
