@@ -216,10 +216,13 @@ SELECT *, coalesce(partner_display_name, chat_identifier) AS contact_name,
     day_name, ' at ', time_of_day, ' (' || response_time_minutes || ' min response time)') AS temporal_context
 FROM timeseries_enriched""",
     "mart_message_timeseries": f"SELECT {', '.join(timeseries.TIMESERIES_COLUMNS)} FROM timeseries_lines",
+    "thread_link": """
+SELECT rowid, guid, date, thread_originator_guid, coalesce(reply_to_guid, thread_originator_guid) AS parent FROM message
+WHERE coalesce(reply_to_guid, thread_originator_guid) IS NOT NULL""",
     "thread_chain": """
-SELECT guid, guid AS root, 0::BIGINT AS depth FROM message WHERE reply_to_guid IS NULL
+SELECT DISTINCT parent AS guid, parent AS root, 0::BIGINT AS depth FROM thread_link WHERE parent NOT IN (SELECT guid FROM thread_link)
 UNION ALL
-SELECT m.guid, c.root, c.depth + 1 FROM message m JOIN thread_chain c ON m.reply_to_guid = c.guid""",
+SELECT l.guid, c.root, c.depth + 1 FROM thread_link l JOIN thread_chain c ON l.parent = c.guid""",
 }
 
 DUCKDB_TYPES = {"bigint": "BIGINT", "binary": "BLOB", "string": "VARCHAR"}
@@ -319,6 +322,8 @@ SELECT message_id, chat_id, message_sequence, is_from_me, response_time_minutes,
     "read_delivery_time": """
 SELECT message_id, chat_id, message_sequence, is_from_me, read_time_minutes, delivery_time_seconds FROM int_messages""",
     "int_messages": "SELECT * FROM int_messages",
+    "int_messages_cut": "SELECT * FROM int_messages",
+    "int_messages_backfilled": "SELECT * FROM int_messages",
     "conversation_type": "SELECT chat_id, conversation_type, count(*) AS messages FROM typed_messages GROUP BY ALL",
     "conversation_base": "SELECT * FROM conversation_base",
     "active_periods": f"SELECT {ALL_CONVERSATION_KEYS}, active_days, active_weeks, active_months FROM conversation_base",
@@ -347,6 +352,8 @@ FROM timeseries_enriched WHERE is_session_start""",
     "formatted_message": "SELECT message_id, chat_id, message_sequence, formatted_message FROM timeseries_lines",
     "temporal_context": "SELECT message_id, chat_id, message_sequence, temporal_context FROM timeseries_lines",
     "mart_message_timeseries": "SELECT * FROM mart_message_timeseries",
+    "mart_message_timeseries_cut": "SELECT * FROM mart_message_timeseries",
+    "mart_message_timeseries_named_cut": f"SELECT * FROM mart_message_timeseries WHERE first_name = '{NAMED_CONTACT}'",
     "mart_message_timeseries_named": f"SELECT * FROM mart_message_timeseries WHERE first_name = '{NAMED_CONTACT}'",
     "int_conversations": """
 SELECT chat_id AS conversation_id, if(is_group_chat, NULL, conversation_partner) AS conversation_partner, is_group_chat,
@@ -360,10 +367,13 @@ FROM (
   FROM base_messages WINDOW w AS (PARTITION BY chat_id ORDER BY message_date, message_id))
 GROUP BY chat_id, conversation_partner, is_group_chat""",
     "int_message_threads": """
-SELECT c.root AS thread_id, o.rowid AS original_message_id, r.rowid AS reply_message_id, c.depth AS thread_depth,
+SELECT coalesce(r.thread_originator_guid, c.root) AS thread_id, o.rowid AS original_message_id, r.rowid AS reply_message_id,
+  CASE WHEN coalesce(a.root, r.thread_originator_guid) = c.root AND coalesce(a.depth, 0) < c.depth
+    THEN c.depth - coalesce(a.depth, 0) ELSE c.depth END AS thread_depth,
   date_diff('minute', TIMESTAMP '2001-01-01' + to_seconds(o.date / 1e9),
     TIMESTAMP '2001-01-01' + to_seconds(r.date / 1e9)) AS time_to_reply_minutes
-FROM thread_chain c JOIN message r ON r.guid = c.guid JOIN message o ON o.guid = c.root WHERE c.depth > 0""",
+FROM thread_link r LEFT JOIN thread_chain c ON c.guid = r.guid LEFT JOIN thread_chain a ON a.guid = r.thread_originator_guid
+LEFT JOIN message o ON o.guid = coalesce(r.thread_originator_guid, c.root)""",
     "dq_unique": "SELECT message_id, count(*) AS occurrences FROM int_messages GROUP BY message_id HAVING count(*) > 1",
     "dq_not_null": "SELECT message_id, chat_id, message_sequence FROM int_messages WHERE first_name IS NULL",
     "dq_accepted_values": """
@@ -382,9 +392,11 @@ WHERE NOT (response_time_minutes IS NULL OR response_time_minutes <= 60)""",
 }
 
 
-def with_models(query: str) -> str:
+def with_models(query: str, backfilled: bool = False) -> str:
     """A query with the fixture views and models it may name in front of it."""
     ctes = {**duckdb_ctes(), **MODELS}
+    if backfilled:
+        ctes["message"] = f"SELECT * REPLACE (coalesce(text, decode(attributedbody)) AS text) FROM ({ctes['message']})"
     reused = {"ev", "message", "messages_with_contacts", "int_messages", "mart_message_timeseries"}
     chain = ",\n".join(
         f"{name} AS {'MATERIALIZED ' if name in reused else ''}({text.strip()})"
@@ -394,4 +406,4 @@ def with_models(query: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: with_models(query) for name, query in QUERIES.items()}
+    return {name: with_models(query, name == "int_messages_backfilled") for name, query in QUERIES.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fixtures.oracle import NAMED_CONTACT
 from fixtures.views import DriverSources, Sources
-from parley.functions import moments, phones, texts
+from parley.functions import decoders, moments, phones, texts
 from parley.operators import quality
 from parley.plans import contacts, contract, conversations, messages, staging, threads, timeseries
 from parley.session import cut_lineage, shared_folder
@@ -199,6 +199,17 @@ def int_messages(s: AnySources) -> DataFrame:
     return _messages(s)
 
 
+@query()
+def int_messages_cut(s: AnySources) -> DataFrame:
+    """Chats cut wherever sixty-four parts of all links happen to end."""
+    return _messages(s, parts=64)
+
+
+@query()
+def int_messages_backfilled(s: AnySources) -> DataFrame:
+    return _messages(s, decode_fn=decoders.utf8)
+
+
 # Conversations
 
 
@@ -346,6 +357,18 @@ def mart_message_timeseries_named(s: AnySources) -> DataFrame:
     )
 
 
+@query()
+def mart_message_timeseries_cut(s: AnySources) -> DataFrame:
+    return timeseries.mart_message_timeseries(_messages_table(s), rows_per_segment=200)
+
+
+@query()
+def mart_message_timeseries_named_cut(s: AnySources) -> DataFrame:
+    return timeseries.mart_message_timeseries(
+        _messages_table(s), first_name=NAMED_CONTACT, rows_per_segment=200
+    )
+
+
 # Threads
 
 

@@ -60,7 +60,8 @@ SELECT e.event_id AS rowid, concat('msg-', cast(e.event_id AS {S})) AS guid,
   CASE WHEN e.event_id % 3 = 0 THEN 0 ELSE 1 END AS is_read,
   CASE WHEN e.event_id % 4 = 0 THEN 0 ELSE 1 END AS is_delivered,
   CASE WHEN e.chat_id % 4 = 0 THEN 'SMS' WHEN e.chat_id % 4 = 1 AND e.event_id % 2 = 0 THEN 'SMS' ELSE 'iMessage' END AS service,
-  0 AS type, cast(NULL AS {S}) AS thread_originator_guid,
+  0 AS type,
+  CASE WHEN e.event_id % 35 = 0 THEN 'lost' WHEN e.event_id % 5 = 0 THEN concat('msg-', cast(e.event_id - 1 - e.event_id % 40 AS {S})) END AS thread_originator_guid,
   {REPLY} AS reply_to_guid
  FROM ev e {DOCS} JOIN documents d ON d.doc_id = e.event_id % {N}
 """,
@@ -175,11 +176,8 @@ class DriverSources:
 
 def with_reply_target(ev: DataFrame) -> DataFrame:
     """Two events out of three answer the event before them in their chat."""
-    in_order = ("chat_id", F.col("us"), "event_id", ["event_id"])
-    cuts = segments.cut_groups(ev, *in_order)
-    target = F.concat(F.lit("msg-"), F.col("prev_event_id").cast("string"))
-    return (
-        segments.sequence_rows(ev, *in_order, cuts)
-        .withColumn("reply_to", F.when(F.col("event_id") % 3 != 0, target))
-        .select(*ev.columns, "reply_to")
-    )
+    target = F.concat(F.lit("msg-"), F.col("prev_own_id").cast("string"))
+    keys = ev.select("chat_id", "us", "event_id", F.col("event_id").alias("own_id"))
+    before = segments.sequence_rows(keys, "chat_id", F.col("us"), "event_id", ["own_id"])
+    replies = before.select("event_id", F.when(F.col("event_id") % 3 != 0, target).alias("reply_to"))
+    return ev.join(replies, "event_id")

@@ -1,36 +1,9 @@
 """Decoders for rich message bodies: ``Column -> Column`` functions for ``text_backfill``."""
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def utf8(body: Column) -> Column:
-    """The whole blob as UTF-8; an empty blob holds no text. Malformed bytes are an error."""
-    return F.when(F.octet_length(body) > 0, F.decode(body, "UTF-8"))
-
-
-def typedstream(body: Column) -> Column:
-    """First byte string of an archived object stream, as UTF-8.
-
-    Needs the ``pytypedstream`` package on every executor; blobs arrive in Arrow batches.
-    """
-    try:
-        import typedstream.stream  # noqa: F401
-    except ImportError as missing:
-        raise ImportError("the typedstream decoder needs the pytypedstream package") from missing
-
-    @F.pandas_udf("string")
-    def first_byte_string(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from typedstream.stream import TypedStreamReader
-
-        def text_of(blob):
-            events = TypedStreamReader.from_data(bytes(blob)) if blob else ()
-            return next((event.decode("utf-8") for event in events if type(event) is bytes), None)
-
-        for bodies in batches:
-            yield bodies.map(text_of, na_action="ignore")
-
-    return first_byte_string(body)
+    """The whole blob as UTF-8; null for an empty blob and for bytes that are no UTF-8 text."""
+    return F.when(F.octet_length(body) > 0, F.try_validate_utf8(body.cast("string")))

@@ -1,19 +1,18 @@
 """Windows over groups of any size.
 
-A plain window puts a whole group into one task. Here a group is cut along its order into segments of
-about ``rows_per_segment`` rows, windows run per (group, segment), and what a row needs from outside
-its segment is brought to it:
+A plain window puts a whole group into one task. Here a group is cut along its order into segments, windows
+run per (group, segment), and what a row needs from outside its segment is brought to it:
 
-* ``cut_groups`` and ``sequence_rows`` number the rows of a group 1..n in the order of (time, id), where
-  nothing is known of the positions yet;
+* ``sequence_rows`` numbers the rows of a group 1..n in the order of (time, id), where nothing is known
+  of the positions yet. Segments are the parts of a range partitioning, which Spark balances by a sample of
+  the keys: any group, time or run of equal times is split as far as its size asks for.
 * ``with_halo`` cuts rows that already carry such a dense position, and copies the few rows next to a
   cut into the neighbouring segment.
 
-Split points only decide which task does what; any set of them gives the same result.
+Where the cuts are only decides which task does what; any set of them gives the same result.
 """
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,170 +20,65 @@ from pyspark.sql import functions as F
 from parley.session import cut_lineage
 
 ROWS_PER_SEGMENT = 2_000_000
-SAMPLES_PER_SEGMENT = 100
-# Binary search over up to 2^20 split points.
-SEARCH_STEPS = [1 << bit for bit in reversed(range(20))]
 
 _LAST = (1 << 63) - 1
 
 
-def position_key(at: Column, tie: Column) -> Column:
-    """Sort key (time, id); a null time sorts last."""
-    return F.struct(F.coalesce(at, F.lit(_LAST)).alias("at"), tie.alias("tie"))
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Where large groups are cut, and what lies next to each cut; both null when none is large."""
-
-    points: DataFrame | None
-    edges: DataFrame | None
-
-
-def split_points(
-    keys: DataFrame, group: str, tie: str, rows_per_segment: int = ROWS_PER_SEGMENT
+def sequence_rows(
+    rows: DataFrame, group: str, at: Column, tie: str, carry: Sequence[str], parts: int | None = None
 ) -> DataFrame:
-    """Where to cut the large groups: (group, sorted array of position keys).
+    """(group, tie, *carry) of each row with its ``position`` 1..n in its group, by (at, tie), and ``prev_*`` and
+    ``next_*`` of carry.
 
-    ``keys`` holds (group, ``at``, tie). A fixed fraction of it, chosen by a hash of ``tie``, is sorted
-    per group and every n-th key becomes a cut. The result holds one key per ``rows_per_segment`` input
-    rows at most, and no row for the groups that stay whole, so it is small enough to broadcast: 10^12
-    rows give 500,000 keys of 16 bytes.
+    A null time sorts last; tie must be unique within the group. Rows should be narrow: the wide ones join
+    the result by tie. ``parts`` is the number of parts, by default Spark's own choice. The parts are
+    written once, because the sample that places the cuts may come out differently when it is taken again.
     """
-    rate = max(1, rows_per_segment // SAMPLES_PER_SEGMENT)
-    nth = max(1, rows_per_segment // rate)
-    sampled = keys.filter(F.pmod(F.xxhash64(tie), F.lit(rate)) == 0).select(
-        group, position_key(F.col("at"), F.col(tie)).alias("key")
-    )
-    counted = sampled.withColumn(
-        "n", F.row_number().over(Window.partitionBy(group).orderBy("key"))
-    )
-    return (
-        counted.filter(F.col("n") % nth == 0)
-        .groupBy(group)
-        .agg(F.array_sort(F.collect_list("key")).alias("cuts"))
-    )
-
-
-def segment_of(cuts: Column, key: Column) -> Column:
-    """Number of cuts at or before the key, by binary search; 0 for a group without cuts."""
-
-    def advance(passed, step):
-        return F.when(F.get(cuts, passed + step - 1) <= key, passed + step).otherwise(passed)
-
-    found = F.aggregate(F.array(*map(F.lit, SEARCH_STEPS)), F.lit(0), advance)
-    return F.when(cuts.isNull(), 0).otherwise(F.coalesce(found, F.lit(0)))
-
-
-def with_segment(
-    rows: DataFrame, group: str, at: Column, tie: str, points: DataFrame | None
-) -> DataFrame:
-    """Rows with the ``segment`` their position falls into."""
-    if points is None:
-        return rows.withColumn("segment", F.lit(0))
-    return (
-        rows.join(F.broadcast(points), group, "left")
-        .withColumn("segment", segment_of(F.col("cuts"), position_key(at, F.col(tie))))
-        .drop("cuts")
-    )
-
-
-def every_segment(groups: DataFrame, group: str, cuts: Cuts) -> DataFrame:
-    """A dimension of the groups, repeated for each segment, to join on (group, segment).
+    keys = rows.select(group, F.coalesce(at, F.lit(_LAST)).alias("_at"), tie, *carry)
+    order = (group, "_at", tie)
+    dealt = keys.repartitionByRange(parts, *order) if parts else keys.repartitionByRange(*order)
+    dealt = cut_lineage(dealt.withColumn("_part", F.spark_partition_id()))
+    # A checkpoint keeps the column identities of the rows it came from; joins need its own.
+    dealt = dealt.toDF(*dealt.columns)
 
-    Joining on the group alone would gather a cut group again.
-    """
-    if cuts.points is None:
-        return groups.withColumn("segment", F.lit(0))
-    last = F.coalesce(F.array_size("cuts"), F.lit(0))
-    return (
-        groups.join(F.broadcast(cuts.points), group, "left")
-        .withColumn("segment", F.explode(F.sequence(F.lit(0), last)))
-        .drop("cuts")
+    row = F.struct(F.col("_at"), F.col(tie), *carry)
+    sizes = dealt.groupBy(group, "_part").agg(
+        F.count("*").alias("_rows"), F.min(row).alias("_first"), F.max(row).alias("_last")
     )
-
-
-def cut_groups(
-    rows: DataFrame,
-    group: str,
-    at: Column,
-    tie: str,
-    carry: Sequence[str],
-    rows_per_segment: int = ROWS_PER_SEGMENT,
-    keys: DataFrame | None = None,
-    rows_of: Callable[[DataFrame], DataFrame] | None = None,
-) -> Cuts:
-    """Decide how to cut the large groups of ``rows``, ordered by (at, tie).
-
-    Runs one job over the key columns: of ``keys`` (group, ``at``, tie) if a cheaper source knows them
-    about as well, else of the rows. Only when there is something to cut, edges add a second, narrow
-    pass over the rows of the cut groups: per (group, segment) its size, the rows before it, and
-    ``carry`` of the rows next to it. They hold one row per segment. ``rows_of`` builds the rows of the
-    groups it is given, where that is cheaper than to pick them from ``rows``.
-    """
-    if keys is None:
-        keys = rows.select(group, at.alias("at"), tie)
-    if rows_of is None:
-        rows_of = lambda groups: rows.join(groups, group, "left_semi")
-    points = cut_lineage(split_points(keys, group, tie, rows_per_segment))
-    if points.isEmpty():
-        return Cuts(None, None)
-    # A checkpoint keeps the column identities of the rows it came from; joins need its own.
-    points = points.select(F.col(group).alias(group), "cuts")
-
-    hot = rows_of(F.broadcast(points.select(group)))
-    row = F.struct(position_key(at, F.col(tie)).alias("key"), *carry)
-    sizes = (
-        with_segment(hot, group, at, tie, points)
-        .groupBy(group, "segment")
-        .agg(
-            F.count("*").alias("segment_rows"),
-            F.min(row).alias("first_row"),
-            F.max(row).alias("last_row"),
+    along = Window.partitionBy(group).orderBy("_part")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    # Groups within one part need nothing from elsewhere; the others have a row for each part they touch.
+    edges = (
+        sizes.select(
+            group,
+            "_part",
+            "_rows",
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+            F.lag("_last").over(along).alias("_row_before"),
+            F.lead("_first").over(along).alias("_row_after"),
         )
+        .filter(F.col("_row_before").isNotNull() | F.col("_row_after").isNotNull())
     )
-    order = Window.partitionBy(group).orderBy("segment")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    edges = sizes.select(
-        group,
-        "segment",
-        "segment_rows",
-        F.coalesce(F.sum("segment_rows").over(before), F.lit(0)).alias("rows_before"),
-        F.lag("last_row").over(order).alias("row_before"),
-        F.lead("first_row").over(order).alias("row_after"),
-    )
-    return Cuts(points, edges)
-
-
-def sequence_rows(
-    rows: DataFrame, group: str, at: Column, tie: str, carry: Sequence[str], cuts: Cuts
-) -> DataFrame:
-    """Number the rows of each group 1..n as ``position``, with ``prev_*`` and ``next_*`` of ``carry``.
+    edges = edges.toDF(*edges.columns)
 
-    The result keeps ``segment`` and is partitioned by (group, segment).
-    """
-    order = Window.partitionBy(group, "segment").orderBy(at.asc_nulls_last(), F.asc(tie))
-    numbered = with_segment(rows, group, at, tie, cuts.points).withColumns(
+    inside = Window.partitionBy(group, "_part").orderBy("_at", tie)
+    numbered = dealt.withColumns(
         {
-            "position": F.row_number().over(order).cast("bigint"),
-            **{f"prev_{c}": F.lag(c).over(order) for c in carry},
-            **{f"next_{c}": F.lead(c).over(order) for c in carry},
+            "position": F.row_number().over(inside).cast("bigint"),
+            **{f"prev_{c}": F.lag(c).over(inside) for c in carry},
+            **{f"next_{c}": F.lead(c).over(inside) for c in carry},
         }
     )
-    if cuts.edges is None:
-        return numbered
-
     position = F.col("position")
-    at_start, at_end = position == 1, position == F.col("segment_rows")
-    stitched = {"position": position + F.coalesce("rows_before", F.lit(0))}
+    stitched = {"position": position + F.coalesce("_before", F.lit(0))}
     for c in carry:
         prev, following = f"prev_{c}", f"next_{c}"
-        stitched[prev] = F.when(at_start, F.col(f"row_before.{c}")).otherwise(F.col(prev))
-        stitched[following] = F.when(at_end, F.col(f"row_after.{c}")).otherwise(F.col(following))
+        stitched[prev] = F.when(position == 1, F.col(f"_row_before.{c}")).otherwise(F.col(prev))
+        stitched[following] = F.when(position == F.col("_rows"), F.col(f"_row_after.{c}")).otherwise(F.col(following))
     return (
-        numbered.join(F.broadcast(cuts.edges), [group, "segment"], "left")
+        numbered.join(edges, [group, "_part"], "left")
         .withColumns(stitched)
-        .drop("segment_rows", "rows_before", "row_before", "row_after")
+        .select(group, tie, *[c for c in carry if c != tie], "position", *[f"{side}_{c}" for side in ("prev", "next") for c in carry])
     )
 
 

@@ -60,32 +60,33 @@ def chat_contacts(identity: DataFrame, contacts: DataFrame, dedupe_contacts: boo
 
     The match depends on the chat alone, so it is settled here, between two dimension tables, and
     never on messages. ``contact_rank`` counts the ``contact_count`` contacts of a chat from 1; with
-    ``dedupe_contacts`` only the contact of the best priority stays. E-mail and group chats are kept
-    out of the match itself: their digits, mostly none, would all meet in one task.
+    ``dedupe_contacts`` only the contact of the best priority stays. Contacts are ranked once for each
+    number, not for each chat that has it. E-mail and group chats and identifiers with fewer digits than any
+    contact number never enter the match, where they would all meet in one task; matched and unmatched
+    chats are an inner and an anti join, which can both be split at runtime.
     """
-    identifier = F.col("chat_identifier")
-    matchable = identity.filter(~is_email(identifier) & ~is_group_identifier(identifier))
-    by_number = contacts.withColumnRenamed("full_number", "contact_phone_number")
-    matches = matchable.select("chat_id", "chat_normalized_number").join(
-        by_number, F.col("chat_normalized_number") == F.col("normalized_number")
+    identifier, number = F.col("chat_identifier"), F.col("chat_normalized_number")
+    can_match = (
+        ~is_email(identifier) & ~is_group_identifier(identifier) & (F.length(number) >= SHORTEST_NUMBER)
     )
+    can_match = F.coalesce(can_match, F.lit(False))
 
     tie_break = [F.asc_nulls_last(c) for c in ("contact_phone_number", "first_name", "last_name")]
-    chat = Window.partitionBy("chat_id")
+    of_number = Window.partitionBy("normalized_number")
+    ranked = contacts.withColumnRenamed("full_number", "contact_phone_number")
     if dedupe_contacts:
-        best_first = chat.orderBy("contact_priority", *tie_break)
-        matches = (
-            matches.withColumn("contact_rank", F.row_number().over(best_first))
+        best_first = of_number.orderBy("contact_priority", *tie_break)
+        ranked = (
+            ranked.withColumn("contact_rank", F.row_number().over(best_first))
             .filter("contact_rank = 1")
             .withColumn("contact_count", F.lit(1).cast("bigint"))
         )
     else:
-        matches = matches.withColumn(
-            "contact_rank", F.row_number().over(chat.orderBy(*tie_break))
-        ).withColumn("contact_count", F.count("*").over(chat))
-
-    matches = matches.select(
-        "chat_id",
+        ranked = ranked.withColumn(
+            "contact_rank", F.row_number().over(of_number.orderBy(*tie_break))
+        ).withColumn("contact_count", F.count("*").over(of_number))
+    ranked = ranked.select(
+        "normalized_number",
         "first_name",
         "last_name",
         "contact_display_name",
@@ -95,10 +96,15 @@ def chat_contacts(identity: DataFrame, contacts: DataFrame, dedupe_contacts: boo
         F.col("contact_rank").cast("bigint"),
         "contact_count",
     )
+    numbers = contacts.select("normalized_number").distinct()
+    same = F.col("chat_normalized_number") == F.col("normalized_number")
+    matchable = identity.filter(can_match)
+    matched = matchable.join(ranked, same).drop("normalized_number")
+    alone = matchable.join(numbers, same, "left_anti").unionByName(identity.filter(~can_match))
+    directory = matched.unionByName(alone, allowMissingColumns=True)
     group_name = F.col("display_name")
     return (
-        identity.join(matches, "chat_id", "left")
-        .withColumn(
+        directory.withColumn(
             "partner_display_name",
             F.coalesce(F.when(not_blank(group_name), group_name), "contact_display_name", identifier),
         )

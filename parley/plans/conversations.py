@@ -1,6 +1,7 @@
 """Conversation tables: one row per chat and contact, with activity, engagement and a preview."""
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,9 +20,10 @@ PREVIEW_MESSAGES = 3
 PREVIEW_CHARS = 100
 VOLUME_UNIT, VOLUME_WEIGHT = 100.0, 0.3
 INTENSITY_UNIT, INTENSITY_WEIGHT = 20.0, 0.3
-# 0.4 times 1.0, 0.7 and 0.3, as exact decimals.
-RECENCY_SCORE = {"very_active": 0.4, "active": 0.28}
-RECENCY_SCORE_ELSE = 0.12
+RECENCY_WEIGHT = Decimal("0.4")
+# The products are exact decimals before they become doubles, so they are rounded once.
+RECENCY_SCORE = {label: float(RECENCY_WEIGHT * Decimal(score)) for label, score in {"very_active": "1.0", "active": "0.7"}.items()}
+RECENCY_SCORE_ELSE = float(RECENCY_WEIGHT * Decimal("0.3"))
 
 CONVERSATION_KEYS = [
     "chat_id", "chat_identifier", "partner_display_name", "contact_match_type",

@@ -1,6 +1,8 @@
 """Messages: joined to their chats and contacts, numbered within the chat, with response times."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions.moments import (
@@ -13,6 +15,7 @@ from parley.functions.moments import (
 from parley.functions.rules import holds
 from parley.operators import segments
 from parley.plans.contacts import chat_contacts, chat_identity
+from parley.plans.staging import with_backfilled_text
 
 CONTEXT = ["message_date", "is_from_me"]
 
@@ -21,12 +24,19 @@ def _flag(name: str):
     return F.col(name).cast("boolean").alias(name)
 
 
-def chat_messages(message: DataFrame, link: DataFrame) -> DataFrame:
-    """Messages with a text that are not system messages, once per chat they belong to.
+def with_text(message: DataFrame) -> DataFrame:
+    """Messages with a text that are not system messages.
 
     The flag is compared as stored, so the filter reaches the Parquet scan; a null flag drops the row.
     """
-    kept = message.filter((F.col("text") != "") & (F.col("is_system_message") == 0))
+    return message.filter((F.col("text") != "") & (F.col("is_system_message") == 0))
+
+
+def chat_messages(message: DataFrame, link: DataFrame) -> DataFrame:
+    """Messages with a text, once per chat they belong to, with all further columns of the link."""
+    kept = with_text(message)
+    further = [c for c in link.columns if c not in ("message_id", "chat_id", "message_date")]
+    link = link.select("message_id", "chat_id", *further)
     return kept.join(link, kept.rowid == link.message_id).select(
         "message_id",
         "chat_id",
@@ -42,6 +52,7 @@ def chat_messages(message: DataFrame, link: DataFrame) -> DataFrame:
         "service",
         "type",
         _flag("cache_has_attachments"),
+        *further,
     )
 
 
@@ -62,28 +73,15 @@ def messages_with_contacts(
     return chat_messages(message, link).join(directory, "chat_id").drop("contact_rank", "contact_count")
 
 
-def _in_order() -> tuple:
-    """Messages of a chat, by date and id, with what their neighbours need of them."""
-    return "chat_id", micros(F.col("message_date")), "message_id", CONTEXT
-
-
-def chat_cuts(message: DataFrame, link: DataFrame, rows_per_segment: int) -> segments.Cuts:
-    """Where to cut large chats.
-
-    Places the cuts by a sample of message ids and dates. The sample is a condition on the id, so it
-    thins out both tables before they meet; the link's own date is not used, as old links have none. Texts
-    are read only for the chats that are cut.
-    """
-    dates = message.select(
-        F.col("rowid").alias("message_id"), micros(epoch_ns(F.col("date"))).alias("at")
-    )
-    return segments.cut_groups(
-        chat_messages(message, link),
-        *_in_order(),
-        rows_per_segment,
-        keys=link.select("chat_id", "message_id").join(dates, "message_id"),
-        rows_of=lambda chats: chat_messages(message, link.join(chats, "chat_id", "left_semi")),
+def numbered_links(message: DataFrame, link: DataFrame, parts: int | None = None) -> DataFrame:
+    """Links of messages with a text: their position in the chat, by date and id, and their neighbours' CONTEXT."""
+    kept = with_text(message).select(
+        "rowid", epoch_ns(F.col("date")).alias("message_date"), _flag("is_from_me")
     )
+    link = link.select("chat_id", "message_id")
+    keys = link.join(kept, kept.rowid == link.message_id).drop("rowid")
+    at = micros(F.col("message_date"))
+    return segments.sequence_rows(keys, "chat_id", at, "message_id", CONTEXT, parts).drop(*CONTEXT)
 
 
 def message_context(
@@ -92,21 +90,17 @@ def message_context(
     chat: DataFrame,
     contacts: DataFrame,
     dedupe_contacts: bool = False,
-    rows_per_segment: int = segments.ROWS_PER_SEGMENT,
+    parts: int | None = None,
 ) -> DataFrame:
     """Messages with contacts, their position in the chat and their neighbours.
 
-    Messages are numbered before contacts multiply them. All contacts of a chat repeat every message
-    of it, next to each other in the order (date, message, number, first name, last name), so the
-    position after the multiplication is plain arithmetic and the wide rows are shuffled only once,
-    on (chat, segment). The chat directory joins on that same key.
+    Links are numbered before they meet the wide messages and before contacts multiply them. All contacts
+    of a chat repeat every message of it, next to each other in the order (date, message, number, first
+    name, last name), so the position after the multiplication is plain arithmetic. Wide rows are shuffled once,
+    to meet their links; the join with the chat directory can be split at runtime on either side.
     """
-    messages = chat_messages(message, link)
-    cuts = chat_cuts(message, link, rows_per_segment)
-    numbered = segments.sequence_rows(messages, *_in_order(), cuts)
-    directory = segments.every_segment(
-        chat_contacts(chat_identity(chat), contacts, dedupe_contacts), "chat_id", cuts
-    )
+    numbered = chat_messages(message, numbered_links(message, link, parts))
+    directory = chat_contacts(chat_identity(chat), contacts, dedupe_contacts)
     rank, copies = F.col("contact_rank"), F.col("contact_count")
     neighbours = {
         f"{side}_{c}": F.when(has_copy, F.col(c)).otherwise(F.col(f"{side}_{c}"))
@@ -114,10 +108,10 @@ def message_context(
         for c in CONTEXT
     }
     return (
-        numbered.join(directory, ["chat_id", "segment"])
+        numbered.join(directory, "chat_id")
         .withColumns(neighbours)
         .withColumn("message_sequence", (F.col("position") - 1) * copies + rank)
-        .drop("segment", "position", "contact_rank", "contact_count")
+        .drop("position", "contact_rank", "contact_count")
     )
 
 
@@ -134,6 +128,7 @@ def response_columns() -> dict:
     }
 
 
+# The columns of the message table.
 MESSAGE_COLUMNS = [
     "message_id", "chat_id", "message_guid", "message_text", "is_from_me", "message_date",
     "date_read", "date_delivered", "is_delivered", "is_read", "service", "type",
@@ -151,11 +146,17 @@ def int_messages(
     chat: DataFrame,
     contacts: DataFrame,
     dedupe_contacts: bool = False,
-    rows_per_segment: int = segments.ROWS_PER_SEGMENT,
+    parts: int | None = None,
     ordered: bool = False,
+    decode_fn: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """The message table: one row per message, chat and matching contact."""
-    context = message_context(message, link, chat, contacts, dedupe_contacts, rows_per_segment)
+    """The message table: one row per message, chat and matching contact.
+
+    With ``decode_fn`` a message without plain text has the text of its rich body.
+    """
+    if decode_fn is not None:
+        message = with_backfilled_text(message, decode_fn)
+    context = message_context(message, link, chat, contacts, dedupe_contacts, parts)
     messages = (
         context.withColumnRenamed("text", "message_text")
         .withColumns(response_columns())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parley.functions import decoders
 from parley.sources import schemas
 
+# The chat columns that the staging model reads.
 CHAT_COLUMNS = [
     "guid", "style", "state", "account_id", "properties", "chat_identifier", "service_name",
     "room_name", "account_login", "is_archived", "last_addressed_handle", "display_name", "group_id",
@@ -34,15 +35,26 @@ def stg_attributed_body(cleaned: DataFrame) -> DataFrame:
     return cleaned.select(F.col("rowid").alias("row_id"), "guid", "text", "attributed_body")
 
 
+def with_backfilled_text(
+    message: DataFrame, decode_fn: Callable[[Column], Column] = decoders.utf8
+) -> DataFrame:
+    """Messages, all columns, with the text of the rich body where the plain text is null."""
+    return message.withColumn("text", F.coalesce("text", decode_fn(F.col("attributedbody"))))
+
+
+def undecoded(message: DataFrame, decode_fn: Callable[[Column], Column] = decoders.utf8) -> DataFrame:
+    """One row: how many messages have a body that was needed and gave no text."""
+    body = F.col("attributedbody")
+    lost = F.col("text").isNull() & (F.octet_length(body) > 0) & decode_fn(body).isNull()
+    return message.agg(F.count_if(lost).alias("undecoded_messages"))
+
+
 def text_backfill(
     message: DataFrame, decode_fn: Callable[[Column], Column] = decoders.utf8
 ) -> DataFrame:
     """Message texts, taken from the rich body where the plain text is null."""
-    return message.select(
-        "rowid",
-        "guid",
-        F.coalesce("text", decode_fn(F.col("attributedbody"))).alias("text"),
-        F.col("attributedbody").alias("attributed_body"),
+    return with_backfilled_text(message, decode_fn).select(
+        "rowid", "guid", "text", F.col("attributedbody").alias("attributed_body")
     )
 
 

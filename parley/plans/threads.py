@@ -12,7 +12,8 @@ def message_threads(message: DataFrame) -> DataFrame:
 
     A reply points to ``reply_to_guid``, or to the thread's originator where that is all it states. The
     thread is the stated originator, else the message the reply chain starts from; the original stays
-    null where that message is not in the store. Replies on a cycle without originator have no thread.
+    null where that message is not in the store. Depth counts the steps to the originator where the chain
+    passes it, else to the chain's start. Replies on a cycle have no depth, and no thread without an originator.
     """
     replies = message.select(
         "rowid",
@@ -27,8 +28,18 @@ def message_threads(message: DataFrame) -> DataFrame:
         F.col("rowid").alias("original_message_id"),
         epoch_ns(F.col("date")).alias("original_date"),
     )
+    # An originator that is no reply itself is the root of its own chain.
+    of_originator = chains.select(
+        F.col("node").alias("thread_originator_guid"),
+        F.col("root").alias("originator_root"),
+        F.col("depth").alias("originator_depth"),
+    )
+    above = F.coalesce("originator_depth", F.lit(0))
+    passed = (F.coalesce("originator_root", "thread_originator_guid") == F.col("root")) & (above < F.col("depth"))
     return (
         replies.join(chains, replies.guid == chains.node)
+        .join(of_originator, "thread_originator_guid", "left")
+        .withColumn("depth", F.when(passed, F.col("depth") - above).otherwise(F.col("depth")))
         .withColumn("thread_id", F.coalesce("thread_originator_guid", "root"))
         .join(originals, "thread_id", "left")
         .select(

@@ -46,7 +46,7 @@ def chat_offsets(messages: DataFrame, rows_per_segment: int = ROWS_PER_SEGMENT)
     large = messages.filter(F.col("message_sequence") == rows_per_segment + 1).select("chat_id")
     day = truncated("day", F.col("message_date"))
     by_day = (
-        messages.join(F.broadcast(large), "chat_id", "left_semi")
+        messages.join(large, "chat_id", "left_semi")
         .groupBy(
             "chat_id",
             F.floor((F.col("message_sequence") - 1) / F.lit(rows_per_segment)).alias("segment"),
@@ -137,7 +137,7 @@ def windowed_metrics(
         .withColumns(neighbours)
         .withColumns(running)
         .filter("is_own")
-        .join(F.broadcast(offsets), ["chat_id", "segment"], "left")
+        .join(offsets, ["chat_id", "segment"], "left")
         .withColumns(
             {
                 "minutes_since_prev_message": minutes_between(F.col("prev_message_date"), at),
@@ -206,7 +206,7 @@ def formatted_message() -> Column:
     return concat_nulls_empty(
         F.when(F.col("is_from_me"), "Me").otherwise(contact_name()),
         " at ",
-        F.date_format("message_date", "yyyy-MM-dd HH:mm"),
+        F.substring(F.col("message_date").cast("string"), 1, 16),  # to the minute, in no zone
         " (", F.col("time_of_day"), ", ", F.col("day_name"), "): ",
         ellipsize(F.col("message_text"), LINE_CHARS),
     )
@@ -222,6 +222,7 @@ def temporal_context() -> Column:
     )
 
 
+# The columns of the time series.
 TIMESERIES_COLUMNS = [
     "message_id", "chat_id", "message_guid", "first_name", "last_name", "contact_phone_number",
     "chat_identifier", "contact_match_type", "phone_type", "message_text",

@@ -7,13 +7,14 @@ CONTACT_RECORD = "contact_record"
 CONTACT_PHONE = "contact_phone"
 ATTRIBUTED_BODY = "attributed_body_cleaned"
 
-# table -> (required columns, optional columns), as DDL
+# Table -> (required columns, optional columns), as DDL
 DECLARED = {
     MESSAGE: (
         "rowid bigint, guid string, text string, date bigint, date_read bigint, date_delivered bigint,"
         " is_from_me int, is_system_message int, cache_has_attachments int, is_read int,"
         " is_delivered int, service string, type int",
-        "attributedbody binary, thread_originator_guid string, reply_to_guid string",
+        "attributedbody binary, thread_originator_guid string, reply_to_guid string, handle_id bigint, is_sent int,"
+        " is_service_message int, associated_message_guid string, associated_message_type int",
     ),
     CHAT_MESSAGE_JOIN: ("chat_id bigint, message_id bigint, message_date bigint", ""),
     CHAT: (

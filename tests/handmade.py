@@ -24,7 +24,9 @@ def message(rowid, at, sent=0, text="hello", chat=1, **other):
         "rowid": rowid, "guid": f"g{rowid}", "text": text, "attributedbody": None, "date": ns(at),
         "date_read": 0, "date_delivered": 0, "is_from_me": sent, "is_system_message": 0,
         "cache_has_attachments": 0, "is_read": 0, "is_delivered": 0, "service": "iMessage", "type": 0,
-        "thread_originator_guid": None, "reply_to_guid": None, "chat": chat, **other,
+        "thread_originator_guid": None, "reply_to_guid": None, "handle_id": None, "is_sent": None,
+        "is_service_message": None, "associated_message_guid": None, "associated_message_type": None,
+        "chat": chat, **other,
     }
     return row
 

@@ -112,8 +112,8 @@ def test_message_in_two_chats(spark):
     assert sorted(r.chat_id for r in int_messages(s).collect()) == [1, 2]
 
 
-@pytest.mark.parametrize("rows_per_segment", [2, 7, 40])
-def test_cut_chats_give_the_same_messages(spark, rows_per_segment):
+@pytest.mark.parametrize("parts", [2, 9, 40])
+def test_cut_chats_give_the_same_messages(spark, parts):
     many = [
         message(i, f"2024-01-{1 + i % 9:02d} 0{i % 7}:00:00" if i % 11 else None, sent=i * i % 3 % 2)
         for i in range(1, 150)
@@ -121,16 +121,16 @@ def test_cut_chats_give_the_same_messages(spark, rows_per_segment):
     links = [(m["chat"], m["rowid"], m["date"] if m["rowid"] % 2 else 0) for m in many]
     s = sources(spark, many, CHATS, RECORDS, PHONES, links)
     whole = by_sequence(int_messages(s))
-    assert by_sequence(int_messages(s, rows_per_segment=rows_per_segment)) == whole
+    assert by_sequence(int_messages(s, parts=parts)) == whole
     assert [r.message_sequence for r in whole if r.chat_id == 1] == list(range(1, 299))
 
 
-def test_cuts_do_not_need_the_date_of_the_link(spark):
+def test_numbering_does_not_need_the_date_of_the_link(spark):
     many = [message(i, f"2024-01-{1 + i % 28:02d} 00:00:00") for i in range(400)]
     s = sources(spark, many, links=[(1, m["rowid"], 0) for m in many])
-    cuts = messages.chat_cuts(s.message, s.link, 50)
-    sizes = cuts.edges.select("segment_rows").collect()
-    assert len(sizes) == 9 and max(r.segment_rows for r in sizes) == 50
+    numbered = messages.numbered_links(s.message, s.link, 9).collect()
+    in_order = sorted(many, key=lambda m: (m["date"], m["rowid"]))
+    assert {r.message_id: r.position for r in numbered} == {m["rowid"]: i for i, m in enumerate(in_order, 1)}
 
 
 def test_context_looks_both_ways(spark):

@@ -31,40 +31,27 @@ def random_rows(seed, size):
     return rows
 
 
-@pytest.mark.parametrize("rows_per_segment", [3, 10, 57, 400, 10_000])
-def test_sequence_equals_brute_force(spark, rows_per_segment):
-    rows = random_rows(rows_per_segment, 900)
+@pytest.mark.parametrize("parts", [None, 1, 2, 16, 90, 300])
+def test_sequence_equals_brute_force(spark, parts):
+    rows = random_rows(parts or 0, 900)
     df = spark.createDataFrame(rows, "grp bigint, at bigint, id bigint, v string").repartition(5)
-    in_order = ("grp", F.col("at"), "id", ["v"])
-    cuts = segments.cut_groups(df, *in_order, rows_per_segment)
-    assert (cuts.points is None) == (rows_per_segment == 10_000)
     got = {
         (r.grp, r.id): (r.position, r.prev_v, r.next_v)
-        for r in segments.sequence_rows(df, *in_order, cuts).collect()
+        for r in segments.sequence_rows(df, "grp", F.col("at"), "id", ["v"], parts).collect()
     }
     assert got == brute_force(rows)
 
 
-def test_hot_group_is_spread(spark):
-    rows = random_rows(1, 3000)
-    df = spark.createDataFrame(rows, "grp bigint, at bigint, id bigint, v string")
-    cuts = segments.cut_groups(df, "grp", F.col("at"), "id", ["v"], 50)
-    sizes = (
-        segments.with_segment(df, "grp", F.col("at"), "id", cuts.points)
-        .groupBy("grp", "segment")
-        .count()
-    )
-    assert sizes.agg(F.max("count")).first()[0] <= 100
-    assert cuts.points.select(F.sum(F.size("cuts"))).first()[0] <= 3000 / 50
-
-
-def test_every_segment_repeats_cut_groups_only(spark):
-    rows = [(1, i, i, "x") for i in range(30)] + [(2, 1, 100, "y")]
-    df = spark.createDataFrame(rows, "grp bigint, at bigint, id bigint, v string")
-    cuts = segments.cut_groups(df, "grp", F.col("at"), "id", ["v"], 10)
-    groups = segments.every_segment(df.select("grp").distinct(), "grp", cuts)
-    counts = {r.grp: r["count"] for r in groups.groupBy("grp").count().collect()}
-    assert counts == {1: 4, 2: 1}
+def test_no_rows_to_sequence(spark):
+    df = spark.createDataFrame([], "grp bigint, at bigint, id bigint, v string")
+    assert segments.sequence_rows(df, "grp", F.col("at"), "id", ["v"]).count() == 0
+
+
+def test_no_cuts_in_rows_and_no_lambdas(spark):
+    """Cuts never travel with the rows, as arrays that are searched."""
+    df = spark.createDataFrame(random_rows(1, 50), "grp bigint, at bigint, id bigint, v string")
+    plan = segments.sequence_rows(df, "grp", F.col("at"), "id", ["v"], 8)._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "array" not in plan
 
 
 def test_halo_copies_the_rows_next_to_a_cut(spark):

@@ -24,7 +24,7 @@ def test_chain_dangling_and_originator(spark):
     assert got == {
         2: ("g1", 1, 1, 1),
         3: ("g1", 1, 2, 2),
-        4: ("g2", 2, 3, 2),
+        4: ("g2", 2, 2, 2),
         5: ("g1", 1, 1, 4),
         6: ("lost", None, 1, None),
         7: ("lost", None, 2, None),
