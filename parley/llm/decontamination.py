@@ -110,3 +110,44 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     own = docs.alias("own")
     same = F.xxhash64(F.col("own.text").cast("string")).eqNullSafe(F.col("leaks.text_key")) & F.col("own.doc_id").eqNullSafe(F.col("leaks.doc_id"))
     return own.join(leaks, same, "left_anti")
+
+
+def oracle_sql() -> str:
+    """The best match of each document and item, over the tables documents and benchmark, as DuckDB SQL."""
+
+    def marked_sql(text: str) -> str:
+        for _ in range(2):
+            text = f"regexp_replace({text}, '([\\p{{Ll}}\\p{{Nd}},;:)] )(\\p{{Lu}}\\p{{L}}+)', '\\1' || chr(1) || '\\2', 'g')"
+        text = f"regexp_replace({text}, '([0-9]+([.,:/][0-9]+)*)', chr(2) || '\\1', 'g')"
+        text = f"lower(regexp_replace({text}, '[^\\p{{L}}\\p{{Nd}}\\x01-\\x03 \\t\\n\\x0B\\f\\r]+', '', 'g'))"
+        return f"regexp_replace({text}, '(\\x02[^ \\t\\n\\x0B\\f\\r]* )({UNITS})([ \\t\\n\\x0B\\f\\r]|$)', '\\1' || chr(3) || '\\2\\3', 'g')"
+
+    def listed(text: str) -> str:
+        return f"list_filter(regexp_split_to_array({text}, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
+
+    blank = "regexp_replace(marked, '[^ \\t\\n\\x0B\\f\\r]*([\\x01-\\x03])[^ \\t\\n\\x0B\\f\\r]*', '\\1', 'g')"
+
+    def texts(table: str, name: str) -> str:
+        return f"SELECT DISTINCT {name}, text, {listed('marked')} AS vals, {listed(blank)} AS words FROM (SELECT {name}, text, {marked_sql('text')} AS marked FROM {table} WHERE text IS NOT NULL)"
+
+    slot = "(chr(1), chr(2), chr(3))"
+    return f"""
+WITH item AS MATERIALIZED ({texts("benchmark", "item_id")}),
+doc AS MATERIALIZED ({texts("documents", "doc_id")}),
+item_window AS (SELECT item_id, i AS item_at, words[i + 1:i + {WINDOW}] AS win FROM (SELECT *, unnest(range(0, len(words) - {WINDOW} + 1)) AS i FROM item)),
+telling AS (SELECT *, array_to_string(win, ' ') AS key FROM item_window WHERE len(list_filter(win, lambda w: w NOT IN {slot})) >= {TELLING}),
+doc_window AS (SELECT doc_id, text, i AS doc_at, array_to_string(words[i + 1:i + {WINDOW}], ' ') AS key
+  FROM (SELECT *, unnest(range(0, len(words) - {WINDOW} + 1, {STRIDE})) AS i FROM doc)),
+lies AS (SELECT DISTINCT doc_id, text, item_id, doc_at - item_at AS shift FROM doc_window JOIN telling USING (key)),
+laid AS (SELECT l.doc_id, l.item_id, len(i.words) AS n_item, list_filter(list_transform(range(0, len(i.words)),
+    lambda j: CASE WHEN l.shift + j >= 0 AND l.shift + j < len(d.words) AND d.words[l.shift + j + 1] = i.words[j + 1]
+      THEN {{'word': i.words[j + 1], 'item_value': i.vals[j + 1], 'doc_value': d.vals[l.shift + j + 1]}} END), lambda p: p IS NOT NULL) AS agreed
+  FROM lies l JOIN item i USING (item_id) JOIN doc d ON d.doc_id IS NOT DISTINCT FROM l.doc_id AND d.text = l.text),
+slotted AS (SELECT *, list_distinct(list_transform(list_filter(agreed, lambda p: p.word IN {slot}),
+    lambda p: {{'item_value': p.item_value, 'doc_value': p.doc_value}})) AS slots FROM laid),
+counted AS (SELECT doc_id, item_id, n_item, len(agreed) AS n_matched, len(slots) AS n_slots,
+    len(list_filter(slots, lambda s: s.item_value <> s.doc_value)) AS n_changed FROM slotted
+  WHERE len(list_distinct(list_transform(slots, lambda s: s.item_value))) = len(slots)
+    AND len(agreed) >= greatest({WINDOW}, least({RUN}, ceil(n_item / 2))))
+SELECT doc_id, item_id, CAST(n_matched AS integer) AS n_matched, CAST(n_item AS integer) AS n_item, CAST(n_slots AS integer) AS n_slots, CAST(n_changed AS integer) AS n_changed
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, n_changed, n_item DESC, n_slots DESC) AS place FROM counted) WHERE place = 1"""

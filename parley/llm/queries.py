@@ -84,4 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(),
+    "op8_decontamination": decontamination.oracle_sql(),
+    "op10_url_filters": url_filters.oracle_sql(URL_RULES),
 }

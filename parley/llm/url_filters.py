@@ -103,3 +103,42 @@ def judged(pages: DataFrame, rules: DataFrame, edges: DataFrame | None = None) -
             F.when(F.col("rule").isNotNull(), "rule").when(F.col("carried").isNotNull(), "alias").otherwise("default").alias("reason"),
         )
     )
+
+
+def oracle_sql(rules: list[tuple[str, str, str]]) -> str:
+    """The same over the table pages as DuckDB SQL, with components as a recursive closure."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def parts(source: str, url: str, keep: str) -> str:
+        rest = f"coalesce(CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) END, '')"
+        return f"""SELECT {keep}, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+  regexp_extract(after, '^[^?#]*') AS path, regexp_extract(after, '^[^#]*') AS tail
+FROM (SELECT *, substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS after FROM (SELECT *, {rest} AS rest FROM {source}))"""
+
+    values = ", ".join(f"({quoted(h)}, {quoted(p)}, {quoted(v)})" for h, p, v in rules)
+    return f"""
+WITH RECURSIVE rules(rule_host, rule_path, rule_verdict) AS (VALUES {values}),
+shown AS (SELECT *, CASE WHEN host <> '' THEN host || tail END AS node FROM ({parts("pages", "url", "page_id, url, html")})),
+link AS (SELECT node, url, host, path, regexp_extract(url, '^([^:/?#]*):', 1) AS scheme, replace(unnest([
+    regexp_extract(regexp_extract(html, {quoted(CANONICAL)}), {quoted(HREF)}, 1),
+    regexp_extract(regexp_extract(html, {quoted(REFRESH)}), {quoted(TARGET)}, 1)]), '&amp;', '&') AS link
+  FROM shown WHERE html IS NOT NULL AND url IS NOT NULL),
+target AS (SELECT node AS a, CASE WHEN instr(link, '://') > 0 THEN link WHEN starts_with(link, '//') THEN scheme || ':' || link
+    WHEN starts_with(link, '/') THEN scheme || '://' || host || link WHEN starts_with(link, '?') THEN scheme || '://' || host || path || link
+    WHEN starts_with(link, '#') THEN url
+    ELSE scheme || '://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '^.*/') END || link END AS target
+  FROM link WHERE link <> ''),
+edge AS (SELECT a, CASE WHEN host <> '' THEN host || tail END AS b FROM ({parts("target", "target", "a")})),
+tie AS (SELECT a, b FROM edge WHERE a <> b UNION SELECT b, a FROM edge WHERE a <> b),
+reach AS (SELECT a AS node, a AS other FROM tie UNION SELECT r.node, t.b FROM reach r JOIN tie t ON t.a = r.other),
+place AS (SELECT host, path FROM shown UNION SELECT regexp_extract(other, '^[^/?]*'),
+    regexp_replace(substr(other, length(regexp_extract(other, '^[^/?]*')) + 1), '[?].*$', '') FROM reach),
+fit AS (SELECT host, path, rule_host || rule_path AS rule, rule_verdict AS verdict, row_number() OVER (PARTITION BY host, path
+    ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC, rule_verdict = 'block' DESC) AS place
+  FROM place JOIN rules ON starts_with(path, rule_path) AND (host = rule_host OR suffix(host, '.' || rule_host))),
+carried AS (SELECT node, min(verdict) AS carried FROM reach JOIN fit ON fit.place = 1 AND fit.host = regexp_extract(other, '^[^/?]*')
+    AND fit.path = regexp_replace(substr(other, length(regexp_extract(other, '^[^/?]*')) + 1), '[?].*$', '') GROUP BY node)
+SELECT page_id, s.host, s.path, rule, coalesce(verdict, carried, 'allow') AS verdict
+FROM shown s LEFT JOIN fit ON fit.place = 1 AND fit.host = s.host AND fit.path = s.path LEFT JOIN carried c ON c.node = s.node"""

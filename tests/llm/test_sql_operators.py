@@ -183,6 +183,16 @@ def test_aliases(spark):
     assert got[8] == got[9] == ("allow", "default")
 
 
+def test_aliases_as_sql(spark):
+    pages = [(1, "http://a.org/1", canonical("https://b.net/fr/9#x")), (2, "http://c.org/2", refresh("http://a.org/1")), (3, "http://d.org/3?p=1", refresh("?p=2")), (4, "http://d.org/3?p=2", canonical("//x.net/es/")), (5, "http://e.com/5", canonical("http://d.org/3?p=1")), (6, "http://f.org", canonical("x&amp;y")), (7, None, canonical("/q")), (8, "http://g.org/a/b", canonical("c"))]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    duck.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    want = {r[0]: r[1:] for r in duck.execute(f"SELECT page_id, host, path, rule, verdict FROM ({queries.ORACLE['op10_url_filters']})").fetchall()}
+    assert {k: v[:4] for k, v in judge(spark, pages).items()} == want
+    assert want[3][3] == want[4][3] == "allow" and want[2][3] == "block"
+
+
 def test_more_edges_and_clashing_columns(spark):
     edges = spark.createDataFrame([("a.org/1", "x.net/es/"), ("a.org/1", "a.org/1")], "a string, b string")
     got = judge(spark, [(1, "http://a.org/1", None, "r", "n"), (1, "http://a.org/1", None, "r", "n")], edges=edges)
