@@ -4,10 +4,11 @@
 2. Document frequencies of all shingles are counted over the classes. In the order (frequency, hash), a set of n
    shingles that shares at least ceil(t n) with another shares one of its first n - ceil(t n) + 1; sets whose
    first ones occur nowhere else are done. This is most of a corpus.
-3. Similar sets form groups: sets with an equal least hash are held against one set of theirs, the one with the fewest
-   shingles of its own. Components of the links found are split by set size into groups of bounded size.
-4. The token-group matrix holds, for each group, the union of its members' first shingles. A set queries the groups of
-   other components that share one and whose sizes fit; the larger component never queries the smaller one.
+3. Sets that share one of a few keys (their shingles of least hash, and those that most sets have) are held against one
+   set of theirs, the one with the fewest shingles of its own. The links found give first components.
+4. Similar sets form groups: equal commonest shingle, sizes within a tenth, and bounded by a hash where they are many. The
+   token-group matrix holds, for each group, the union of its members' first shingles. A set queries the groups that
+   share one, whose sizes fit and that hold sets of other components; a larger component never queries a smaller one.
 5. Only qualifying groups are opened: the overlap of a query with the union of all shingles of the group bounds
    every member from above; members are compared where that bound suffices.
 
@@ -36,10 +37,10 @@ from parley.llm.text import first_of, gram_places, grams, mix, words_of
 
 SHINGLE, PERCENT = 5, 75
 KEY_BITS = 44
-#: Members of a group, and queries that one task opens it for.
-GROUP_ROWS, OPEN_ROWS = 256, 2048
-#: Least hashes by which sets look for a set like them.
-ROUNDS = 2
+#: Shingles of a group's members in all, about, and queries that one task opens it for.
+GROUP_SHINGLES, OPEN_ROWS = 1 << 20, 2048
+#: Shingles by which sets look for a set like them: those of least hash, and those that most sets have.
+ROUNDS, COMMON = 2, 3
 
 
 def need(n: np.ndarray, percent: int) -> np.ndarray:
@@ -99,7 +100,7 @@ def numbered(chunks: DataFrame, text: str, size: int) -> DataFrame:
 
 def survivors(chunks: DataFrame, heads: DataFrame, total_bytes: int, text: str, size: int, percent: int) -> DataFrame:
     """Classes that may have a link: (node, n, own, tokens, prefix, least); own: shingles of no other class; tokens: the rest, packed;
-    prefix: those of them among the first; least: the ROUNDS least hashes."""
+    prefix: those of them among the first; least: the keys under which like sets may meet."""
     bits = parts_for(total_bytes)
     by_chunk = heads.groupBy(F.shiftright("head", PLACE_BITS).alias("chunk_id")).agg(F.collect_list(F.col("head").bitwiseAND((1 << PLACE_BITS) - 1)).alias("places"))
     chosen = chunks.join(by_chunk, "chunk_id").select("chunk_id", "payload", "places")
@@ -130,6 +131,8 @@ def survivors(chunks: DataFrame, heads: DataFrame, total_bytes: int, text: str,
                 tokens, classes = found[first[d] : first[d + 1]], rare[first[d] : first[d + 1]]
                 order = np.lexsort((tokens, classes))[: reach[d]]
                 shared = tokens[classes > 0]
+                # What a family of copies has in common is in many sets; what one of them changed is in few.
+                common = np.lexsort((shared, -classes[classes > 0].astype(np.int64)))[:COMMON]
                 out.append(
                     {
                         "node": (row["chunk_id"] << PLACE_BITS) + int(places[d]),
@@ -137,7 +140,7 @@ def survivors(chunks: DataFrame, heads: DataFrame, total_bytes: int, text: str,
                         "own": int(own[d]),
                         "tokens": pack_sorted(np.sort(shared)),
                         "prefix": tokens[order][classes[order] > 0].view(np.int64).tolist(),
-                        "least": [int(mix(shared ^ np.uint64(r + 1)).min().view(np.int64)) for r in range(ROUNDS)],
+                        "least": [int(mix(shared ^ np.uint64(r + 1)).min().view(np.int64)) for r in range(ROUNDS)] + shared[common].view(np.int64).tolist(),
                     }
                 )
             if out:
@@ -154,10 +157,11 @@ def similar(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, percent: int) -> b
 
 
 def star_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between sets and, for each of their least hashes, the one set of that hash with the fewest shingles of its own."""
-    keyed = sets.select("node", "n", "own", F.posexplode("least").alias("round", "hash"))
-    centres = keyed.groupBy("round", "hash").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("rate"), "node")).alias("centre"), F.count("*").alias("sets")).where("sets > 1")
-    pairs = keyed.join(centres, ["round", "hash"]).select("node", F.col("centre.node").alias("other")).where("node <> other").distinct()
+    """Links (a, b) between sets and, for each of their keys, the one set with that key that has the fewest shingles of its own."""
+    keyed = sets.select("node", "n", "own", F.explode(F.array_distinct("least")).alias("hash"))
+    centres = keyed.groupBy("hash").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("rate"), "node")).alias("centre"), F.count("*").alias("sets")).where("sets > 1")
+    centres = settled(centres.select("hash", "centre.node")).withColumnRenamed("node", "other")
+    pairs = keyed.join(centres, "hash").select("node", "other").where("node <> other").distinct()
     full = sets.select("node", "n", "tokens")
     both = pairs.join(full, "node").join(full.select(F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("tokens").alias("other_tokens")), "other")
 
@@ -179,46 +183,43 @@ def star_links(sets: DataFrame, percent: int) -> DataFrame:
 def group_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """At least one link between any two components of labels (node, component) that have one."""
     members = sets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = members.select("node", "n", "prefix", "component", F.element_at("least", ROUNDS + 1).alias("family"))
+    # Rank: the size of the component, then its name; of two sets the one of lower rank queries the other's group.
     sizes = members.groupBy("component").agg(F.count("*").alias("members"))
     # A step of the sizes spans a tenth, so that a group's members can have one bound.
-    members = (
-        members.select("node", "n", "prefix", "component")
-        .join(sizes, "component")
-        .withColumn("step", F.floor(F.log("n") / F.log(F.lit(1.1))))
-        .withColumn("sub", F.pmod(F.xxhash64("node"), F.ceil(F.col("members") / GROUP_ROWS)))
-        .withColumn("rank", F.struct("members", "component"))
-    )
+    members = members.join(sizes, "component").withColumn("step", F.floor(F.log("n") / F.log(F.lit(1.1))))
+    weights = members.groupBy("family", "step").agg(F.ceil(F.sum("n") / GROUP_SHINGLES).alias("subs"))
+    members = members.join(weights, ["family", "step"]).withColumn("sub", F.pmod(F.xxhash64("node"), "subs")).withColumn("rank", F.struct("members", "component"))
     members = settled(members)
-    every = members.select("node", "n", "component", "step", "sub", "rank", F.explode("prefix").alias("token"))
-    meets = every.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low <> high")
-    matrix = (
-        every.groupBy("token", "component", "step", "sub").agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.first("rank").alias("group_rank")).join(meets.select("token"), "token")
-    )
+    group = ["family", "step", "sub"]
+    every = members.select("node", "n", "rank", *group, F.explode("prefix").alias("token"))
+    meets = every.groupBy("token").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).where("low < high")
+    matrix = every.groupBy("token", *group).agg(F.min("n").alias("low_n"), F.max("n").alias("high_n"), F.max("rank").alias("top")).join(meets.select("token"), "token")
     asking = every.join(meets, "token").where("rank < high").select("token", "node", "n", "rank")
-    fits = (F.col("rank") < F.col("group_rank")) & (100 * F.col("low_n") <= 100 * 100 * F.col("n") / percent) & (100 * F.col("high_n") >= percent * F.col("n"))
-    candidates = asking.join(matrix, "token").where(fits).select("node", "component", "step", "sub").distinct()
-    candidates = settled(candidates)
-    shares = candidates.groupBy("component", "step", "sub").agg(F.ceil(F.count("*") / OPEN_ROWS).alias("shares"))
-    asked = candidates.join(shares, ["component", "step", "sub"]).withColumn("share", F.pmod(F.xxhash64("node", F.lit(7)), "shares")).drop("shares")
-    full = sets.select("node", "n", "tokens")
-    queries = asked.join(full, "node").select("component", "step", "sub", "share", "node", "n", "tokens")
+    fits = (F.col("rank") < F.col("top")) & (F.col("low_n") * percent <= F.col("n") * 100) & (F.col("high_n") * 100 >= F.col("n") * percent)
+    candidates = settled(asking.join(matrix, "token").where(fits).select("node", *group).distinct())
+    shares = candidates.groupBy(*group).agg(F.ceil(F.count("*") / OPEN_ROWS).alias("shares"))
+    asked = candidates.join(shares, group).withColumn("share", F.pmod(F.xxhash64("node", F.lit(7)), "shares")).drop("shares")
+    full = members.select("node", "component", "members").join(sets.select("node", "n", "tokens"), "node")
+    queries = asked.join(full, "node").select(*group, "share", "node", "n", "component", "members", "tokens")
     opened = (
-        members.join(shares, ["component", "step", "sub"])
-        .select("node", "component", "step", "sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"))
+        members.select("node", *group)
+        .join(shares, group)
+        .select("node", *group, F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1)).alias("share"))
         .join(full, "node")
-        .select("component", "step", "sub", "share", "node", "n", "tokens")
+        .select(*group, "share", "node", "n", "component", "members", "tokens")
     )
 
     def open_group(asked: pa.Table, group: pa.Table) -> pa.Table:
         a, b = [], []
         if asked.num_rows and group.num_rows:
             held = [unpack_sorted(x.as_py()) for x in group.column("tokens")]
-            nodes, n = group.column("node").to_numpy(), group.column("n").to_numpy()
+            nodes, n, component, members = (group.column(c).to_numpy() for c in ("node", "n", "component", "members"))
             flat, owner = np.concatenate(held), np.repeat(np.arange(len(held)), [len(x) for x in held])
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
             union = np.unique(flat)
-            for x in asked.select(["node", "n", "tokens"]).to_pylist():
+            for x in asked.select(["node", "n", "component", "members", "tokens"]).to_pylist():
                 query = unpack_sorted(x["tokens"])
                 known = query[np.isin(query, union, assume_unique=True)]
                 if 100 * len(known) < percent * max(x["n"], int(n.min())):
@@ -227,13 +228,15 @@ def group_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
                 many = high - low
                 hits = owner[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())]
                 shared = np.bincount(hits, minlength=len(held))
-                linked = np.flatnonzero(100 * shared >= percent * (x["n"] + n - shared))
-                if len(linked):
-                    a.append(x["node"])
-                    b.append(int(nodes[linked[0]]))
+                above = (members > x["members"]) | ((members == x["members"]) & (component > x["component"]))
+                linked = np.flatnonzero(above & (100 * shared >= percent * (x["n"] + n - shared)))
+                # One link for each component of the group that has one.
+                _, first = np.unique(component[linked], return_index=True)
+                a += [x["node"]] * len(first)
+                b += nodes[linked[first]].tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    key = ["component", "step", "sub", "share"]
+    key = [*group, "share"]
     queries, opened = queries.toDF(*queries.columns), opened.toDF(*opened.columns)  # columns of its own for each side
     return queries.groupBy(*key).cogroup(opened.groupBy(*key)).applyInArrow(open_group, "a long, b long")
 
