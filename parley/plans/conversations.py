@@ -57,84 +57,122 @@ def with_conversation_type(int_messages: DataFrame, only: str | None = None) ->
     return typed if only is None else typed.filter(F.col("conversation_type") == only)
 
 
-def _active_periods() -> dict[str, Column]:
-    """Distinct days, weeks and months with a message.
+def _by_day(typed: DataFrame) -> DataFrame:
+    """One row per conversation and day. Sums, counts and extremes only, so raw rows meet a hash aggregate with
+    map-side combine and nothing else."""
+    sent, received = F.col("is_from_me"), ~F.col("is_from_me")
+    at, sequence = F.col("message_date"), F.col("message_sequence")
+    length = F.length("message_text")
+    return typed.groupBy(*CONVERSATION_KEYS, F.to_date(at).alias("day")).agg(
+        F.count("*").alias("messages"),
+        F.count_if(sent).alias("sent"),
+        F.count_if(received).alias("received"),
+        F.min(at).alias("first_at"),
+        F.max(at).alias("last_at"),
+        F.max(F.when(sent, at)).alias("last_sent_at"),
+        F.max(F.when(received, at)).alias("last_received_at"),
+        F.sum("response_time_minutes").alias("response_sum"),
+        F.count("response_time_minutes").alias("responses"),
+        F.sum("read_time_minutes").alias("read_sum"),
+        F.count("read_time_minutes").alias("reads"),
+        F.sum(length).alias("length_sum"),
+        F.count(length).alias("lengths"),
+        F.count_if(F.col("cache_has_attachments")).alias("attachments"),
+        F.count_if(F.col("service") == "iMessage").alias("imessages"),
+        F.count_if(F.col("service") == "SMS").alias("sms"),
+        F.sum("delivery_time_seconds").alias("delivery_sum"),
+        F.count("delivery_time_seconds").alias("deliveries"),
+        F.count_if(F.col("is_read") & received).alias("received_read"),
+        F.count_if(F.col("is_consecutive_message")).alias("consecutive"),
+        F.max(F.when(sent, sequence)).alias("sent_sequence"),
+        F.max(F.when(received, sequence)).alias("received_sequence"),
+    )
 
-    The days of a group are gathered as a set, in the map-side partial aggregation already. A set holds
-    one entry per calendar day and not per message: 64-bit nanoseconds span 213,504 days. Weeks and
-    months follow from the days, so the rows are neither expanded nor shuffled once per count.
+
+def _response_times(typed: DataFrame) -> DataFrame:
+    """How often each response time occurs in a conversation.
+
+    Response times are disjoint gaps on the time line of one chat, so n distinct ones add up to n(n+1)/2
+    minutes at least: twenty years allow 4,600 values, the 584 years of the clock 25,000.
     """
-    days = F.collect_set(F.to_date("message_date"))
+    answered = typed.filter(F.col("response_time_minutes").isNotNull())
+    return answered.groupBy(*CONVERSATION_KEYS, F.col("response_time_minutes").alias("minutes")).agg(
+        F.count("*").alias("times")
+    )
+
+
+def _periods() -> dict[str, Column]:
+    """Days, weeks and months with a message, from the rows by day: at most one entry per calendar day, and 64-bit
+    nanoseconds span 213,504 days."""
+    days = F.collect_set("day")
 
     def periods(unit: str) -> Column:
-        return F.size(F.array_distinct(F.transform(days, lambda day: F.trunc(day, unit))))
+        return F.size(F.array_distinct(F.transform(days, lambda day: F.trunc(day, unit)))).cast("bigint")
 
     return {
-        "active_days": F.size(days).cast("bigint"),
-        "active_weeks": periods("week").cast("bigint"),
-        "active_months": periods("month").cast("bigint"),
+        "active_days": F.count("day"),
+        "active_weeks": periods("week"),
+        "active_months": periods("month"),
     }
 
 
-def _median_response() -> Column:
-    """Exact median of the response times.
-
-    ``percentile`` keeps a count per distinct value. Response times are disjoint gaps on the time line
-    of one chat, so n distinct ones add up to n(n+1)/2 minutes at least: twenty years allow 4,600
-    values, the 584 years of the clock 25,000.
-    """
-    return F.percentile("response_time_minutes", 0.5)
+def _median() -> Column:
+    """Exact median, from values with their counts."""
+    return F.percentile("minutes", 0.5, F.col("times"))
 
 
 def active_periods(int_messages: DataFrame) -> DataFrame:
-    return (
-        with_conversation_type(int_messages)
-        .groupBy(*CONVERSATION_KEYS)
-        .agg(*[count.alias(name) for name, count in _active_periods().items()])
-    )
+    by_day = with_conversation_type(int_messages).groupBy(*CONVERSATION_KEYS, F.to_date("message_date").alias("day"))
+    periods = [count.alias(name) for name, count in _periods().items()]
+    return by_day.agg(F.count("*").alias("messages")).groupBy(*CONVERSATION_KEYS).agg(*periods)
 
 
 def median_response(int_messages: DataFrame) -> DataFrame:
-    return (
-        with_conversation_type(int_messages)
-        .groupBy(*CONVERSATION_KEYS)
-        .agg(_median_response().alias("median_response_time_minutes"))
-    )
+    typed = with_conversation_type(int_messages)
+    every = typed.groupBy(*CONVERSATION_KEYS, F.col("response_time_minutes").alias("minutes")).agg(F.count("*").alias("times"))
+    return every.groupBy(*CONVERSATION_KEYS).agg(_median().alias("median_response_time_minutes"))
 
 
 def conversation_base(int_messages: DataFrame, only: str | None = None) -> DataFrame:
-    """One row per chat and contact, in a single aggregation with map-side combine."""
-    sent, received = F.col("is_from_me"), ~F.col("is_from_me")
-    at, sequence = F.col("message_date"), F.col("message_sequence")
+    """One row per chat and contact, in two levels: by day and by response time, then by conversation.
+
+    Only the second level, over rows that the calendar bounds, holds sets and the median.
+    """
+    typed = with_conversation_type(int_messages, only)
+    parts = _by_day(typed).unionByName(_response_times(typed), allowMissingColumns=True)
+
+    def total(name: str) -> Column:
+        return F.sum(name)
+
+    def mean(sums: str, counts: str) -> Column:
+        return F.when(F.sum(counts) > 0, F.sum(sums) / F.sum(counts))
+
+    first, last = F.min("first_at"), F.max("last_at")
     metrics = {
-        "total_messages": F.count("*"),
-        "messages_sent": F.count_if(sent),
-        "messages_received": F.count_if(received),
-        "first_message_date": F.min(at),
-        "last_message_date": F.max(at),
-        "last_sent_date": F.max(F.when(sent, at)),
-        "last_received_date": F.max(F.when(received, at)),
-        "conversation_duration_days": days_between(F.min(at), F.max(at)),
-        **_active_periods(),
-        "avg_response_time_minutes": F.avg("response_time_minutes"),
-        "median_response_time_minutes": _median_response(),
-        "avg_read_time_minutes": F.avg("read_time_minutes"),
-        "avg_message_length": F.avg(F.length("message_text")),
-        "messages_with_attachments": F.count_if(F.col("cache_has_attachments")),
-        "imessage_count": F.count_if(F.col("service") == "iMessage"),
-        "sms_count": F.count_if(F.col("service") == "SMS"),
-        "avg_delivery_time_seconds": F.avg("delivery_time_seconds"),
-        "received_messages_read": F.count_if(F.col("is_read") & received),
-        "total_received_messages": F.count_if(received),
-        "consecutive_message_count": F.count_if(F.col("is_consecutive_message")),
-        "last_sent_sequence": F.max(F.when(sent, sequence)),
-        "last_received_sequence": F.max(F.when(received, sequence)),
+        "total_messages": total("messages"),
+        "messages_sent": total("sent"),
+        "messages_received": total("received"),
+        "first_message_date": first,
+        "last_message_date": last,
+        "last_sent_date": F.max("last_sent_at"),
+        "last_received_date": F.max("last_received_at"),
+        "conversation_duration_days": days_between(first, last),
+        **_periods(),
+        "avg_response_time_minutes": mean("response_sum", "responses"),
+        "median_response_time_minutes": _median(),
+        "avg_read_time_minutes": mean("read_sum", "reads"),
+        "avg_message_length": mean("length_sum", "lengths"),
+        "messages_with_attachments": total("attachments"),
+        "imessage_count": total("imessages"),
+        "sms_count": total("sms"),
+        "avg_delivery_time_seconds": mean("delivery_sum", "deliveries"),
+        "received_messages_read": total("received_read"),
+        "total_received_messages": total("received"),
+        "consecutive_message_count": total("consecutive"),
+        "last_sent_sequence": F.max("sent_sequence"),
+        "last_received_sequence": F.max("received_sequence"),
     }
-    return (
-        with_conversation_type(int_messages, only)
-        .groupBy(*CONVERSATION_KEYS)
-        .agg(*[metric.alias(name) for name, metric in metrics.items()])
-    )
+    return parts.groupBy(*CONVERSATION_KEYS).agg(*[metric.alias(name) for name, metric in metrics.items()])
 
 
 def conversation_ratios(base: DataFrame) -> DataFrame:
