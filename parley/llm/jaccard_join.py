@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.chunks import KEY_SCHEMA, PLACE_BITS, answered, answers_of, chunked, key_rows, pack_sorted, parts_for, rows_of, settled, totals, unpack_batch, unpack_sorted
+from parley.llm.chunks import KEY_SCHEMA, PLACE_BITS, answers_of, chunked, key_rows, pack_sorted, parts_for, rows_of, settled, totals, unpack_batch, unpack_sorted
 from parley.llm.components import components
 from parley.llm.text import first_of, gram_places, grams, mix, words_of
 
@@ -270,3 +270,19 @@ def first_of_each(docs: DataFrame, text: str = "text", size: int = SHINGLE, perc
             yield from unpack_batch(row["payload"]).take(pa.array(sorted(row["places"]))).to_batches(max_chunksize=2000)
 
     return chunks.join(kept, "chunk_id").select("payload", "places").mapInArrow(choose, docs.withColumn(text, F.col(text).cast("string")).schema)
+
+
+def oracle_sql(size: int = SHINGLE, percent: int = PERCENT) -> str:
+    """doc_id, n_shingles and component_id over the table documents as DuckDB SQL."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH RECURSIVE doc AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+shingle AS MATERIALIZED (SELECT DISTINCT r, words[i + 1:i + {size}] AS s
+  FROM (SELECT *, unnest(range(0, CASE WHEN len(words) = 0 THEN 0 ELSE greatest(len(words) - {size} + 1, 1) END)) AS i FROM doc)),
+sized AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM shingle a JOIN shingle b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM shared JOIN sized x ON x.r = a JOIN sized y ON y.r = b WHERE 100 * k >= {percent} * (x.n + y.n - k)),
+reach AS (SELECT r AS a, r AS b FROM doc UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS bigint) AS n_shingles, least.doc_id AS component_id
+FROM doc d LEFT JOIN sized USING (r) JOIN (SELECT a, min(doc_id) AS doc_id FROM reach JOIN doc ON doc.r = reach.b GROUP BY a) least ON least.a = d.r"""

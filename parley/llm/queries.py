@@ -84,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op2_license_scan": license_scan.oracle_sql(),
+    "op6_substring_dedup": substring_dedup.oracle_sql(),
+    "op7_jaccard_join": jaccard_join.oracle_sql(),
     "op8_decontamination": decontamination.oracle_sql(),
     "op10_url_filters": url_filters.oracle_sql(URL_RULES),
 }

@@ -145,3 +145,16 @@ def substring_dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, w
         return both.mapInArrow(cut, docs.withColumn(text, F.col(text).cast("string")).schema)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return both.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: long, words: long>>")
+
+
+def oracle_sql(window: int = WINDOW) -> str:
+    """doc_id, n_words, n_removed and kept_sha256 over the table documents as DuckDB SQL."""
+    return f"""
+WITH doc AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+win AS MATERIALIZED (SELECT r, i, array_to_string(words[i + 1:i + {window}], ' ') AS key FROM (SELECT *, unnest(range(0, len(words) - {window} + 1)) AS i FROM doc)),
+twice AS (SELECT key FROM win GROUP BY key HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {window})) AS place FROM win JOIN twice USING (key)),
+word AS (SELECT r, unnest(words) AS word, unnest(range(0, len(words))) AS place FROM doc),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text FROM word ANTI JOIN gone USING (r, place) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS bigint) AS n_words, CAST(len(words) - coalesce(n, 0) AS bigint) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)"""

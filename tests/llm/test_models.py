@@ -5,7 +5,6 @@ import math
 import random
 
 import numpy as np
-import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_point
