@@ -2,16 +2,24 @@
 
 Each query is a chain of CTEs in front of one SELECT. The chain repeats the models in ordinary SQL:
 one window per chat, the fan-out of contacts before the windows, a recursive walk for threads. With the
-Spark jobs it shares only lists: thresholds with their labels, column names and the contract.
+Spark jobs it shares only lists of column names and the contract.
 """
 
 from fixtures.views import duckdb_ctes
-from parley.plans import contract, conversations, timeseries
+from parley.plans import contract, timeseries
 from parley.sources import schemas
 
 AS_OF = "DATE '2024-02-02'"
 NAMED_CONTACT = "Customer#000000000"
 
+# Bounds and labels of the classes, stated here once more, so that a wrong bound in the jobs shows.
+RECENCY = [(7, "very_active"), (30, "active"), (90, "moderately_active"), (365, "inactive")]
+ENGAGED = [(1000, 10, "high_engagement"), (100, 5, "medium_engagement"), (10, 0, "low_engagement")]
+RESPONDERS = [(5, "immediate_responder"), (60, "quick_responder"), (1440, "daily_responder")]
+GAPS = [(2, "immediate_follow_up"), (15, "quick_response"), (60, "within_hour"), (1440, "within_day")]
+MOMENTA = [(8, "high_momentum"), (4, "medium_momentum"), (2, "low_momentum")]
+LENGTHS = [(10, "very_short"), (50, "short"), (200, "medium"), (500, "long")]
+
 CHAT_ORDER = "PARTITION BY chat_id ORDER BY message_date, message_id, contact_phone_number, first_name, last_name"
 
 
@@ -25,21 +33,21 @@ def ladder(value: str, comparison: str, bounds: list, otherwise: str) -> str:
 ACTIVITY = ladder(
     "date_diff('microsecond', last_message_date, as_of_midnight)",
     "<=",
-    [(f"{days} * 86400000000", label) for days, label in conversations.RECENCY],
+    [(f"{days} * 86400000000", label) for days, label in RECENCY],
     "dormant",
 )
 ENGAGEMENT = (
     "CASE "
     + " ".join(
         f"WHEN total_messages >= {volume} AND messages_per_active_day >= {pace} THEN '{label}'"
-        for volume, pace, label in conversations.ENGAGEMENT
+        for volume, pace, label in ENGAGED
     )
     + " ELSE 'minimal_engagement' END"
 )
-RESPONDER = ladder("avg_response_time_minutes", "<=", conversations.RESPONDERS, "slow_responder")
-GAP = ladder("minutes_since_prev_message", "<=", timeseries.GAP_CLASSES, "delayed_response")
-MOMENTUM = ladder("messages_last_10", ">=", timeseries.MOMENTUM_CLASSES, "minimal_momentum")
-LENGTH = ladder("length(message_text)", "<=", timeseries.LENGTH_CLASSES, "very_long")
+RESPONDER = ladder("avg_response_time_minutes", "<=", RESPONDERS, "slow_responder")
+GAP = ladder("minutes_since_prev_message", "<=", GAPS, "delayed_response")
+MOMENTUM = ladder("messages_last_10", ">=", MOMENTA, "minimal_momentum")
+LENGTH = ladder("length(message_text)", "<=", LENGTHS, "very_long")
 
 MODELS = {
     "stg_contacts": """
@@ -288,7 +296,10 @@ TIME_COLUMNS = (
 )
 
 QUERIES = {
-    "stg_message": "SELECT * REPLACE (hex(attributedbody) AS attributedbody) FROM message",
+    "stg_message": """
+SELECT * REPLACE (hex(attributedbody) AS attributedbody), NULL::BIGINT AS handle_id, NULL::INTEGER AS is_sent,
+  NULL::INTEGER AS is_service_message, NULL::VARCHAR AS associated_message_guid, NULL::INTEGER AS associated_message_type
+FROM message""",
     "stg_chat": STG_CHAT,
     "int_chat": STG_CHAT,
     "stg_chat_message_join": "SELECT * FROM chat_message_join",
