@@ -21,7 +21,7 @@ DRIVER_TABLES = {
 DIALECTS = {
     "spark": {
         "S": "string",
-        "US": "(unix_date(to_date(ts)) * 86400000000 + (hour(ts) * 3600 + minute(ts) * 60) * 1000000 + cast(extract(SECOND FROM ts) * 1000000 AS bigint))",
+        "US": "(unix_date(to_date(ts)) * 86400000000 + cast(hour(ts) * 3600 + minute(ts) * 60 AS bigint) * 1000000 + cast(extract(SECOND FROM ts) * 1000000 AS bigint))",
         "BODY": "d.text, 'UTF-8'",
         "K7": "lpad(cast(c_custkey AS string), 7, '0')",
     },
