@@ -19,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from parley.llm.text import give_back, tidied
+
 #: Text bytes of a chunk, as soon as reached; one longer document is a chunk of its own size.
 CHUNK_BYTES = 8 << 20
 #: Documents of a chunk at most; a row's number is its chunk's id, then so many bits for its place.
@@ -26,7 +28,7 @@ PLACE_BITS = 16
 #: Keys that one range of the key space should hold.
 RANGE_KEYS = 2_000_000
 BYTES_PER_KEY = 6
-CHUNK_SCHEMA = "chunk_id long, n_rows long, n_bytes long, payload binary"
+CHUNK_SCHEMA = "chunk_id long, n_rows long, n_bytes long, payload binary, more binary"
 KEY_SCHEMA = "part int, chunk_id long, keys binary, counts binary"
 
 
@@ -73,15 +75,11 @@ def unpack_batch(payload: bytes) -> pa.Table:
 
 
 def checkpoint_ready(df: DataFrame) -> DataFrame:
-    """Sees to it that a checkpoint folder is set: the one the cluster names, else, where none is named, a local one (tests)."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-        if not named:
-            import tempfile
-
-            named = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(named)
+    """Sees to it that a checkpoint folder is set: the one the cluster names, else one in the warehouse."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
     return df
 
 
@@ -97,8 +95,11 @@ def settled_with_sum(df: DataFrame, column: str) -> tuple[DataFrame, int]:
     return out, int(seen.get["total"])
 
 
-def chunked(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
-    """Chunks of all columns of docs, and the bytes of text in all. Each row is in one chunk, at one place."""
+def chunked(docs: DataFrame, text: str = "text", prepare: Callable[[pa.Table], tuple[pa.Table, bytes]] | None = None) -> tuple[DataFrame, int]:
+    """Chunks of all columns of docs, and the bytes of text in all. Each row is in one chunk, at one place.
+
+    prepare: makes of a chunk's rows what is kept instead, and further bytes, which become the column more.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, size, made = [], 0, 0, 0
@@ -106,10 +107,12 @@ def chunked(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
 
         def emit() -> pa.RecordBatch:
             nonlocal held, rows, size, made
-            payload = pack_batch(pa.Table.from_batches(held).combine_chunks())
+            table, more = pa.Table.from_batches(held).combine_chunks(), None
+            if prepare:
+                table, more = prepare(table)
             row = pa.RecordBatch.from_pydict(
-                {"chunk_id": [(partition << 24) + made], "n_rows": [rows], "n_bytes": [size], "payload": [payload]},
-                schema=pa.schema([("chunk_id", pa.int64()), ("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]),
+                {"chunk_id": [(partition << 24) + made], "n_rows": [rows], "n_bytes": [size], "payload": [pack_batch(table)], "more": [more]},
+                schema=pa.schema([("chunk_id", pa.int64()), ("n_rows", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary()), ("more", pa.binary())]),
             )
             held, rows, size, made = [], 0, 0, made + 1
             return row
@@ -129,7 +132,8 @@ def chunked(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
 
     # Rows of a text column of another type than string would have no byte length.
     cast = docs.withColumn(text, F.col(text).cast("string"))
-    return settled_with_sum(cast.mapInArrow(pack, CHUNK_SCHEMA), "n_bytes")
+    chunks, total = settled_with_sum(cast.mapInArrow(tidied(pack), CHUNK_SCHEMA), "n_bytes")
+    return (chunks if prepare else chunks.drop("more")), total
 
 
 def parts_for(total_bytes: int) -> int:
@@ -172,6 +176,8 @@ def totals(keys: DataFrame, shape: Callable[[np.ndarray], np.ndarray]) -> DataFr
         told[order] = np.repeat(sums, np.diff(np.append(first, len(every))))
         told = shape(told)
         ends = np.cumsum(sizes)
+        del counts, every, order
+        give_back()
         return pa.table(
             {
                 "chunk_id": table.column("chunk_id"),

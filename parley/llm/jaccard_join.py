@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from parley.llm.chunks import KEY_SCHEMA, PLACE_BITS, answers_of, chunked, key_rows, pack_sorted, parts_for, rows_of, settled, totals, unpack_batch, unpack_sorted
 from parley.llm.components import components
-from parley.llm.text import first_of, gram_places, grams, mix, words_of
+from parley.llm.text import first_of, gram_places, grams, mix, tidied, words_of
 
 SHINGLE, PERCENT = 5, 75
 KEY_BITS = 44
@@ -95,7 +95,7 @@ def numbered(chunks: DataFrame, text: str, size: int) -> DataFrame:
                 }
             )
 
-    return chunks.mapInArrow(measure, "node long, doc_id long, n long, one long, two long")
+    return chunks.mapInArrow(tidied(measure), "node long, doc_id long, n long, one long, two long")
 
 
 def survivors(chunks: DataFrame, heads: DataFrame, total_bytes: int, text: str, size: int, percent: int) -> DataFrame:
@@ -146,9 +146,9 @@ def survivors(chunks: DataFrame, heads: DataFrame, total_bytes: int, text: str,
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("node", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64())), ("least", pa.list_(pa.int64()))]))
 
-    told = totals(chosen.mapInArrow(keys, KEY_SCHEMA), _rarity)
+    told = totals(chosen.mapInArrow(tidied(keys), KEY_SCHEMA), _rarity)
     kept = chosen.join(told, "chunk_id").select("chunk_id", "payload", "places", "answers")
-    return kept.mapInArrow(first_ones, "node long, n long, own long, tokens binary, prefix array<long>, least array<long>")
+    return kept.mapInArrow(tidied(first_ones), "node long, n long, own long, tokens binary, prefix array<long>, least array<long>")
 
 
 def similar(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, percent: int) -> bool:
@@ -177,7 +177,7 @@ def star_links(sets: DataFrame, percent: int) -> DataFrame:
                     b.append(last)
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return both.select("node", "n", "tokens", "other", "other_n", "other_tokens").mapInArrow(verify, "a long, b long")
+    return both.select("node", "n", "tokens", "other", "other_n", "other_tokens").mapInArrow(tidied(verify), "a long, b long")
 
 
 def group_links(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -269,7 +269,7 @@ def first_of_each(docs: DataFrame, text: str = "text", size: int = SHINGLE, perc
         for row in rows_of(batches):
             yield from unpack_batch(row["payload"]).take(pa.array(sorted(row["places"]))).to_batches(max_chunksize=2000)
 
-    return chunks.join(kept, "chunk_id").select("payload", "places").mapInArrow(choose, docs.withColumn(text, F.col(text).cast("string")).schema)
+    return chunks.join(kept, "chunk_id").select("payload", "places").mapInArrow(tidied(choose), docs.withColumn(text, F.col(text).cast("string")).schema)
 
 
 def oracle_sql(size: int = SHINGLE, percent: int = PERCENT) -> str:

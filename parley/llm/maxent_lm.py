@@ -26,8 +26,8 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.chunks import KEY_SCHEMA, answered, answers_of, chunked, key_rows, pack_numbers, parts_for, rows_of, settled, totals, unpack_batch, unpack_numbers, unpack_sorted
-from parley.llm.text import Words, mix, words_of
+from parley.llm.chunks import KEY_SCHEMA, answered, answers_of, chunked, key_rows, pack_numbers, pack_sorted, parts_for, rows_of, settled, totals, unpack_batch, unpack_numbers, unpack_sorted
+from parley.llm.text import Words, mix, tidied, words_of
 
 FOLDS, HELD_OUT = 5, 1
 HEAD_WORDS, SLOTS, TAIL_BITS = 1024, 32, 4
@@ -36,7 +36,9 @@ BUCKET_BITS, ROUNDS, BATCH = 14, 4, 16384
 #: Step size, and the squared gradient that a row has before its first step: rows rarely seen move little.
 RATE, CAUTION = 1.0, 50.0
 #: Tasks' changes that one task adds up at a time.
-FAN_IN = 64
+FAN_IN = 16
+#: Times a batch meets a row up to which its gradients are added place by place.
+FEW = 8
 END = np.uint64(2**64 - TAIL)
 _MARKS = np.zeros(256, dtype=bool)
 _MARKS[list(b".,;:!?\"')(")] = True
@@ -60,15 +62,31 @@ def word_keys(words: Words) -> np.ndarray:
 class Tokens:
     """The words of a batch of texts, each text with the end after it, as places in the sorted distinct keys."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, keys: np.ndarray, token: np.ndarray, first: np.ndarray):
+        self.keys, self.token, self.first = keys, token, first
+        self.doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+
+    @classmethod
+    def of(cls, texts: pa.Array) -> Tokens:
         words = words_of(texts, lower=True)
         n = len(words.first) - 1
-        keys = np.insert(word_keys(words), words.first[1:], END)
-        codes, kinds = pd.factorize(keys)
-        self.keys = np.sort(kinds)
-        self.token = np.searchsorted(self.keys, kinds)[codes]
-        self.first = words.first + np.arange(n + 1)
-        self.doc = np.repeat(np.arange(n), np.diff(self.first))
+        codes, kinds = pd.factorize(np.insert(word_keys(words), words.first[1:], END))
+        keys = np.sort(kinds)
+        return cls(keys, np.searchsorted(keys, kinds)[codes], words.first + np.arange(n + 1))
+
+    @classmethod
+    def stored(cls, row: dict) -> tuple[pa.Array, Tokens]:
+        """Ids and tokens of a chunk that tokenised has made."""
+        table = unpack_batch(row["payload"])
+        tokens = table.column("tokens").combine_chunks()
+        return table.column("doc_id").combine_chunks(), cls(unpack_sorted(row["more"]), tokens.values.to_numpy().astype(np.int64), tokens.offsets.to_numpy().astype(np.int64))
+
+
+def tokenised(table: pa.Table) -> tuple[pa.Table, bytes]:
+    """A chunk's ids and tokens in place of its texts, and its keys: texts are read once."""
+    tokens = Tokens.of(table.column("text"))
+    lists = pa.ListArray.from_arrays(pa.array(tokens.first.astype(np.int32)), pa.array(tokens.token.astype(np.int32)))
+    return pa.table({"doc_id": table.column("doc_id"), "tokens": lists}), pack_sorted(tokens.keys)
 
 
 class Model:
@@ -127,13 +145,14 @@ class Events:
 
 def _log_softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(axis=1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    return logits
 
 
 def _logits(bias: np.ndarray, table: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    out = table[rows[0]]
+    out = table.take(rows[0], axis=0)
     for r in rows[1:]:
-        out += table[r]
+        out += table.take(r, axis=0)
     out += bias
     return out
 
@@ -149,12 +168,27 @@ class Descent:
     def step(self, rows: list[np.ndarray], gradient: np.ndarray) -> None:
         for r in rows:
             order = np.argsort(r, kind="stable")
-            sorted_ = r[order]
+            sorted_ = r.take(order)
             first = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-            touched, total = sorted_[first], np.add.reduceat(gradient[order], first, axis=0)
-            self.squares[touched] += np.einsum("ij,ij->i", total, total)
-            self.table[touched] -= (RATE / np.sqrt(self.squares[touched])).astype(np.float32)[:, None] * total
-            self.seen[touched] += np.diff(np.append(first, len(order)))
+            times = np.diff(np.append(first, len(order)))
+            # Rows met FEW times or less, which are most, are added up place by place; the others run by run.
+            for k in range(1, FEW + 1):
+                own = first[times == k]
+                total = gradient.take(order.take(own), axis=0)
+                for j in range(1, k):
+                    total += gradient.take(order.take(own + j), axis=0)
+                self.move(sorted_[own], total, k)
+            many = times > FEW
+            if many.any():
+                runs = np.repeat(first[many], times[many])
+                starts = np.cumsum(times[many]) - times[many]
+                part = gradient.take(order.take(runs + np.arange(len(runs)) - np.repeat(starts, times[many])), axis=0)
+                self.move(sorted_[first[many]], np.add.reduceat(part, starts, axis=0), times[many])
+
+    def move(self, touched: np.ndarray, total: np.ndarray, times: np.ndarray | int) -> None:
+        self.squares[touched] += np.einsum("ij,ij->i", total, total)
+        self.table[touched] -= (RATE / np.sqrt(self.squares[touched])).astype(np.float32)[:, None] * total
+        self.seen[touched] += times
 
     def change(self) -> tuple[np.ndarray, np.ndarray]:
         """seen * change of each row, and seen."""
@@ -172,7 +206,7 @@ def descend(model: Model, events: Events, classes: Descent, slots: Descent, chos
         part = part[events.head[part]]
         if len(part):
             rows = events.slot_rows(part)
-            gradient = np.exp(_log_softmax(_logits(model.slot_bias[events.classes[part]], slots.table, rows)))
+            gradient = np.exp(_log_softmax(_logits(model.slot_bias.take(events.classes[part], axis=0), slots.table, rows)))
             gradient[np.arange(len(part)), events.slots[part]] -= 1
             slots.step(rows, gradient)
 
@@ -186,7 +220,7 @@ def log_probabilities(model: Model, events: Events, counts: np.ndarray) -> np.nd
         out[part] = logs[np.arange(len(part)), events.classes[part]]
         head = part[events.head[part]]
         if len(head):
-            logs = _log_softmax(_logits(model.slot_bias[events.classes[head]], model.slot_weights, events.slot_rows(head)))
+            logs = _log_softmax(_logits(model.slot_bias.take(events.classes[head], axis=0), model.slot_weights, events.slot_rows(head)))
             out[head] += logs[np.arange(len(head)), events.slots[head]]
         tail = part[~events.head[part]]
         out[tail] += np.log((counts[tail] + 0.5) / model.tail_room[events.classes[tail] - model.head_classes])
@@ -199,13 +233,12 @@ def word_counts(chunks: DataFrame, total_bytes: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            table = unpack_batch(row["payload"])
-            tokens = Tokens(table.column("text"))
-            learned = folds(table.column("doc_id"), FOLDS) != HELD_OUT
+            ids, tokens = Tokens.stored(row)
+            learned = folds(ids, FOLDS) != HELD_OUT
             counts = np.bincount(tokens.token[learned[tokens.doc]], minlength=len(tokens.keys))
             yield key_rows(row["chunk_id"], tokens.keys, counts, bits)
 
-    return settled(chunks.mapInArrow(count, KEY_SCHEMA))
+    return settled(chunks.mapInArrow(tidied(count), KEY_SCHEMA))
 
 
 def summed(keys: DataFrame) -> Model:
@@ -250,9 +283,8 @@ def train(chunks: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
                 if own is None:
                     own = cloudpickle.loads(shared.value)
                     classes, slots = Descent(own.class_weights.copy()), Descent(own.slot_weights.copy())
-                table = unpack_batch(row["payload"])
-                tokens = Tokens(table.column("text"))
-                learned = folds(table.column("doc_id"), FOLDS) != HELD_OUT
+                ids, tokens = Tokens.stored(row)
+                learned = folds(ids, FOLDS) != HELD_OUT
                 descend(own, Events(own, tokens), classes, slots, np.flatnonzero(learned[tokens.doc]))
             if own is not None:
                 share = TaskContext.get().partitionId() // FAN_IN
@@ -268,8 +300,8 @@ def train(chunks: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
             return pa.table({"which": table.column("which")[:1], "share": pa.array([table.column("share")[0].as_py() // FAN_IN]), "change": pa.array([pack_numbers(change.view(np.int32))], pa.binary()), "seen": pa.array([pack_numbers(seen.view(np.int32))], pa.binary())})
 
         schema = "which long, share long, change binary, seen binary"
-        mine = chunks.where(F.pmod(F.xxhash64("chunk_id"), F.lit(rounds)) == number).select("payload", "chunk_id")
-        changes, tasks = mine.mapInArrow(learn, schema), chunks.rdd.getNumPartitions()
+        mine = chunks.where(F.pmod(F.xxhash64("chunk_id"), F.lit(rounds)) == number).select("chunk_id", "payload", "more")
+        changes, tasks = mine.mapInArrow(tidied(learn), schema), chunks.rdd.getNumPartitions()
         while tasks > 1:
             changes, tasks = changes.groupBy("which", "share").applyInArrow(add, schema), -(-tasks // FAN_IN)
         got = changes.collect()  # two tables of fixed size
@@ -287,7 +319,7 @@ def train(chunks: DataFrame, model: Model, rounds: int = ROUNDS) -> Model:
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chunks, total_bytes = chunked(docs.select("doc_id", "text"))
+    chunks, total_bytes = chunked(docs.select("doc_id", "text"), prepare=tokenised)
     keys = word_counts(chunks, total_bytes)
     model = train(chunks, summed(keys))
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
@@ -296,8 +328,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = cloudpickle.loads(shared.value)
         for row in rows_of(batches):
-            table = unpack_batch(row["payload"])
-            tokens = Tokens(table.column("text"))
+            ids, tokens = Tokens.stored(row)
             counts = answers_of(row["answers"])
             base = np.log10((counts + 0.5) / (own.tokens + 0.5 * (own.kinds + 1)))
             log = log_probabilities(own, Events(own, tokens), counts[tokens.token])
@@ -307,15 +338,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": table.column("doc_id").combine_chunks(),
-                    "held_out": folds(table.column("doc_id"), FOLDS) == HELD_OUT,
+                    "doc_id": ids,
+                    "held_out": folds(ids, FOLDS) == HELD_OUT,
                     "n_tokens": np.diff(tokens.first),
                     "n_known": per_text((counts > 0)[tokens.token].astype(np.int64)),
-                    "train_tokens": np.full(table.num_rows, own.tokens, dtype=np.int64),
+                    "train_tokens": np.full(len(ids), own.tokens, dtype=np.int64),
                     "base_score": per_text(base[tokens.token]),
                     "score": per_text(log),
                 }
             )
 
-    both = answered(chunks, told).select("chunk_id", "payload", "answers")
-    return both.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    both = answered(chunks, told).select("chunk_id", "payload", "more", "answers")
+    return both.mapInArrow(tidied(score), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.chunks import settled
-from parley.llm.text import Words, first_of, slices, words_of
+from parley.llm.text import Words, first_of, slices, tidied, words_of
 
 CAPACITY = 4096
 END_ID = 1
-#: Distinct words that a worker process keeps the ids of before it starts over (about 130 bytes each).
+#: Distinct words that a worker process keeps the ids of before it starts over (some 30 bytes each).
 KNOWN_WORDS = 1_000_000
 #: Plan rows up to which the plan is broadcast (48 bytes each); beyond it Spark chooses the join.
 BROADCAST_ROWS = 200_000
@@ -46,42 +46,64 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # each task has one core
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.small = self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat, self.used, self.ends = np.zeros(1 << 16, dtype=np.uint32), 0, np.zeros(1 << 14, dtype=np.int64)
+        # Words known for longer and those of late, both by ascending hash, with their places in ends.
+        self.known = [(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32))] * 2
+        self.count, self.used = 0, 0
+        self.flat, self.ends = np.zeros(1 << 16, dtype=np.uint16), np.zeros(1 << 14, dtype=np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of words, -1 for unknown ones."""
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        for have, place in self.known:
+            if len(have):
+                at = np.minimum(np.searchsorted(have, hashes), len(have) - 1)
+                out = np.where(have[at] == hashes, place[at], out)
+        return out
 
     def learn(self, words: Words, place: np.ndarray, hashes: np.ndarray) -> None:
         encoded = [x.ids for x in self.tokenizer.encode_batch_fast([words.word(i).decode("utf-8", "replace") for i in place], add_special_tokens=False)]
-        ids = np.fromiter(chain.from_iterable(encoded), dtype=np.uint32)
-        n = len(self.known)
+        ids = np.fromiter(chain.from_iterable(encoded), dtype=np.uint16 if self.small else np.uint32)
+        self.flat = self.flat.astype(ids.dtype, copy=False)
         while len(self.flat) < self.used + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.ends) < n + len(encoded) + 1:
+        while len(self.ends) < self.count + len(encoded) + 1:
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.ends[n + 1 : n + 1 + len(encoded)] = self.used + np.cumsum([len(x) for x in encoded])
+        self.ends[self.count + 1 : self.count + 1 + len(encoded)] = self.used + np.cumsum([len(x) for x in encoded])
         self.used += len(ids)
-        self.known.update(zip(hashes.tolist(), range(n, n + len(encoded)), strict=True))
+        old, late = self.known
+        late = self.merged(late, (hashes, (self.count + np.arange(len(hashes))).astype(np.int32)))
+        self.count += len(hashes)
+        if 4 * len(late[0]) > len(old[0]):
+            old, late = self.merged(old, late), self.merged((late[0][:0], late[1][:0]), (late[0][:0], late[1][:0]))
+        self.known = [old, late]
+
+    @staticmethod
+    def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        keys, places = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], places[order]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id after it, and where each text starts (one more for the end)."""
         words = words_of(texts)
         which, kinds = pd.factorize(words.hashes())
-        if len(self.known) > KNOWN_WORDS:
+        if self.count > KNOWN_WORDS:
             self.forget()
-        got = [self.known.get(h, -1) for h in kinds.tolist()]
-        at = np.array(got, dtype=np.int64)
+        at = self.find(kinds)
         new = np.flatnonzero(at < 0)
         if len(new):
-            at[new] = len(self.known) + np.arange(len(new))
+            at[new] = self.count + np.arange(len(new))
             self.learn(words, first_of(which, len(kinds))[new], kinds[new])
-        from_, sizes = np.append(self.ends[at], 0), np.append(self.ends[at + 1] - self.ends[at], 1)
+        from_, sizes = np.append(self.ends[at], 0).astype(np.int64), np.append(self.ends[at + 1] - self.ends[at], 1)
         order = np.insert(which, words.first[1:], len(kinds))
         size = sizes[order]
         ends = np.cumsum(size)
-        ids = self.flat[np.repeat(from_[order] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = self.flat[np.repeat(from_[order] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)].astype(np.uint32)
         last = words.first[1:] + np.arange(len(words.first) - 1)
         ids[ends[last] - 1] = end_id
         return ids, np.concatenate([[0], ends[last]]).astype(np.int64)
@@ -117,7 +139,7 @@ def pieces_of(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, en
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(cut, schema)
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(tidied(cut), schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -193,7 +215,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         ranked.join(planned, (F.col("length") == F.col("slot_length")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("to_rank")))
         .withColumn("sequence_id", F.col("first_sequence") + F.floor(ahead / F.col("per")).cast("long"))
         .withColumn("offset", F.col("base") + F.pmod(ahead, F.col("per")) * F.col("length"))
-        .drop("rank", "slot_length", "from_rank", "to_rank", "first_sequence", "per", "base")
+        .select(*pieces.columns, "sequence_id", "offset")
     )
 
 

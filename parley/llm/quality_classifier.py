@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from parley.llm.chunks import pack_numbers, unpack_numbers
 from parley.llm.maxent_lm import folds
-from parley.llm.text import first_of, mix, slices, words_of
+from parley.llm.text import first_of, mix, slices, tidied, words_of
 from parley.llm.toxicity import labelled, sigmoid
 
 BITS, DIM, NONZERO, REACH = 14, 48, 4, 2
@@ -73,7 +73,7 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
 
     texts = docs.select(F.col("text").cast("string"))
     schema = "block long, share long, sums binary"
-    sums, tasks = texts.mapInArrow(collect, schema), max(2, texts.rdd.getNumPartitions())
+    sums, tasks = texts.mapInArrow(tidied(collect), schema), max(2, texts.rdd.getNumPartitions())
     while tasks > 1:
         sums, tasks = sums.groupBy("block", "share").applyInArrow(add, schema), -(-tasks // FAN_IN)
     got = {r["block"]: unpack_numbers(r["sums"]) for r in sums.collect()}  # a table of fixed size
@@ -164,7 +164,7 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, folds_: int = 5, held
             yield pa.RecordBatch.from_pydict({"label_id": batch.column(0), "label": batch.column(1), "row": pa.array([r.tobytes() for r in rows], pa.binary())})
 
     sample = labelled(docs, labels, "quality", folds_, held_out, SAMPLE_ROWS)
-    got = sample.select("label_id", "label", "text").mapInArrow(pool, f"label_id {kind}, label int, row binary").toPandas().sort_values("label_id")
+    got = sample.select("label_id", "label", "text").mapInArrow(tidied(pool), f"label_id {kind}, label int, row binary").toPandas().sort_values("label_id")
     rows = np.frombuffer(b"".join(got["row"]), dtype=np.float32).reshape(-1, POOLED)
     known = got["label"].to_numpy()
     network = Network(rows, known) if len(set(known)) == 2 else None
@@ -179,4 +179,4 @@ def quality_classifier(docs: DataFrame, labels: DataFrame, folds_: int = 5, held
                 {"doc_id": batch.column(0), "held_out": folds(batch.column(0), folds_) == held_out, "score": value, "predicted": pa.array((value >= threshold).astype(np.int32))}
             )
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(score, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(tidied(score), f"doc_id {kind}, held_out boolean, score double, predicted int")

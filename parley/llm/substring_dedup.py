@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.chunks import KEY_SCHEMA, answered, answers_of, chunked, key_rows, parts_for, rows_of, settled, totals, unpack_batch
-from parley.llm.text import Words, covered, gram_places, grams, words_of
+from parley.llm.text import Words, covered, gram_places, grams, tidied, words_of
 
 WINDOW = 35
 ANCHOR = 12
@@ -88,8 +88,8 @@ def repeats(chunks: DataFrame, total_bytes: int, text: str, window: int = WINDOW
             if len(keys):
                 yield key_rows(row["chunk_id"], keys, counts, bits)
 
-    seeded = answered(chunks, settled(totals(chunks.mapInArrow(seeds, KEY_SCHEMA), _again)))
-    told = totals(seeded.select("chunk_id", "payload", "answers").mapInArrow(extensions, KEY_SCHEMA), _again)
+    seeded = answered(chunks, settled(totals(chunks.mapInArrow(tidied(seeds), KEY_SCHEMA), _again)))
+    told = totals(seeded.select("chunk_id", "payload", "answers").mapInArrow(tidied(extensions), KEY_SCHEMA), _again)
     return answered(seeded, told.withColumnRenamed("answers", "window_answers"))
 
 
@@ -142,9 +142,9 @@ def substring_dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, w
             yield from table.to_batches(max_chunksize=2000)
 
     if with_columns:
-        return both.mapInArrow(cut, docs.withColumn(text, F.col(text).cast("string")).schema)
+        return both.mapInArrow(tidied(cut), docs.withColumn(text, F.col(text).cast("string")).schema)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: long, words: long>>")
+    return both.mapInArrow(tidied(cut), f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: long, words: long>>")
 
 
 def oracle_sql(window: int = WINDOW) -> str:

@@ -6,7 +6,10 @@ gives word boundaries, word hashes and the place of each document in them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -171,6 +174,26 @@ def first_of(codes: np.ndarray, kinds: int) -> np.ndarray:
     return out
 
 
+def tidied(work: Callable) -> Callable:
+    """The same function over batches, which in the end gives freed memory back to the system: Spark keeps the
+    worker process, idle, for later tasks of any kind."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where there is no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs whose texts have about limit bytes, or of one longer row; bounds working arrays."""
     sizes = pc.binary_length(texts_of(batch.column(text))).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from parley.llm.chunks import pack_numbers, settled, unpack_numbers
 from parley.llm.maxent_lm import folds
-from parley.llm.text import first_of, joined, mix, slices, words_of
+from parley.llm.text import first_of, joined, mix, slices, tidied, words_of
 
 BITS = 20
 #: Labelled rows that are learnt from at most: those with the lowest hashes.
@@ -147,4 +147,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds_: int = 3, held_out: int
                 {"doc_id": batch.column(0), "held_out": folds(batch.column(0), folds_) == held_out, "score": value, "predicted": pa.array((value >= threshold).astype(np.int32))}
             )
 
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(score, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(tidied(score), f"doc_id {kind}, held_out boolean, score double, predicted int")
