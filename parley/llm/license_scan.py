@@ -1,9 +1,14 @@
 """Licence scans by sentence rules, in DataFrame functions only.
 
 A text is normalised as a whole (lower case, marks to blanks, points kept only within version numbers) and cut into
-sentences. A sentence that is known, version numbers aside, becomes its identifier; the identifiers of a text, in their
-order, are matched against ordered rules. A rule takes the identifiers it matches with it, so that a whole licence
-text is one licence and later rules see only what is left. Everything is a narrow expression on one row: no shuffle.
+pieces at line ends and after marks. A known sentence, version numbers aside, is found where it fills one or more
+neighbouring pieces, so that line breaks, comment signs at line starts and marks within it do not matter; only a blank
+line ends it. It becomes its identifier; the identifiers of a text, in their order, are matched against ordered rules. A
+rule takes the identifiers it matches with it, so that a whole licence text is one licence and later rules see only what
+is left. Everything is a narrow expression on one row: no shuffle.
+
+The SQL knows SENTENCES, NAMES and RULES, each sentence within one piece; it says the same of texts whose licences are lines
+of their own in these forms.
 
 Defined results: a null or empty text has no sentences and no licence; identifiers that no rule takes are counted as loose;
 rows with equal or null ids are judged one by one; a licence found more than once in a text is named once.
@@ -11,7 +16,8 @@ rows with equal or null ids are judged one by one; a licence found more than onc
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,15 +98,90 @@ RULES: list[tuple[str, str]] = [
     (_one("unlicense"), "Unlicense"),
 ]
 
+# Further sentences of official texts as they are written; <> stands for up to 12 words, # for a version number.
+OFFICIAL: dict[str, str] = {
+    "The above copyright notice and this permission notice (including the next paragraph) shall be included in all copies or substantial portions of the Software.": "mit-notice",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution, and": "bsd-binary",
+    "Neither the name of <> nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "bsd-endorse",
+    "Neither the name of <> nor the names of <> contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "bsd-endorse",
+    "THIS SOFTWARE IS PROVIDED BY <> \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.": "bsd-warranty",
+    "IN NO EVENT SHALL <> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.": "bsd-liability",
+    "Apache License Version #, January #": "apache-named",
+    "GNU GENERAL PUBLIC LICENSE Version #, # June #": "gpl-named",
+    "GNU LESSER GENERAL PUBLIC LICENSE Version #, # June #": "lgpl-named",
+    "GNU LESSER GENERAL PUBLIC LICENSE Version #, February #": "lgpl-named",
+    "GNU AFFERO GENERAL PUBLIC LICENSE Version #, # November #": "agpl-named",
+    "Mozilla Public License Version #": "mpl-named",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/#/": "mpl-obtain",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/#/": "mpl-obtain",
+    "See the GNU Lesser General Public License for more details.": "lgpl-see",
+    "See the GNU Affero General Public License for more details.": "agpl-see",
+}
+THINGS = ["program", "file", "library", "software"]
+for _kind, _family in (("GNU General Public License", "gpl"), ("GNU Lesser General Public License", "lgpl"), ("GNU Affero General Public License", "agpl")):
+    for _thing in (f"This {t}" for t in THINGS):
+        for _version in ("version # of the License, or (at your option) any later version", "version #, or (at your option) any later version"):
+            OFFICIAL[f"{_thing} is free software; you can redistribute it and/or modify it under the terms of the {_kind} as published by the Free Software Foundation; either {_version}."] = f"{_family}-later"
+for _thing in THINGS:
+    OFFICIAL[f"This {_thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."] = "gpl-warranty"
+# Further openings and names, and what may follow a name in brackets.
+MORE_OPENINGS = [f"this {thing} is {how} under" for thing in ["file", "code", *THINGS, "project", "work"] for how in ("licensed", "released", "distributed", "available", "made available")]
+MORE_NAMES: dict[str, str] = {"mit license": "mit-named", "apache license version #": "apache-named", "apache license #": "apache-named", "mozilla public license version #": "mpl-named", "the mozilla public license v #": "mpl-named", "bsd # clause license": "bsd-named"}
+BRACKETED: dict[str, list[str]] = {"mit-named": ["mit"], "apache-named": ["apache #"], "gpl-named": ["gpl #", "gplv#", "gpl v#", "gnu gpl"], "lgpl-named": ["lgpl #", "lgplv#", "lgpl v#", "gnu lgpl"], "agpl-named": ["agpl #", "agplv#", "agpl v#", "gnu agpl"], "mpl-named": ["mpl #", "mpl"], "bsd-named": ["bsd # clause"]}
+# Names after SPDX-License-Identifier.
+SPDX = "spdx license identifier"
+SPDX_NAMES: dict[str, str] = {"mit": "mit-named", "apache #": "apache-named", "mpl #": "mpl-named", "bsd # clause": "bsd-named", "unlicense": "unlicense"}
+SPDX_NAMES |= {name: identifier for name, identifier in NAMES.items() if name.startswith("cc ")}
+SPDX_NAMES |= {f"{family} #{tail}": f"{family}-{'later' if tail == ' or later' else 'named'}" for family in ("gpl", "lgpl", "agpl") for tail in ("", " only", " or later")}
+
+# The rules of SQL, the longer texts of OFFICIAL put before them.
+MORE_RULES: list[tuple[str, str]] = [
+    (_one("bsd-grant") + _rest("bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty") + f"({_rest('bsd-liability')})?", "BSD-3-Clause"),
+    (_one("bsd-grant") + _rest("bsd-source", "bsd-binary", "bsd-warranty") + f"({_rest('bsd-liability')})?", "BSD-2-Clause"),
+    (_one("lgpl-later") + f"({_rest('gpl-warranty')})?({_rest('lgpl-see')})?", "LGPL-or-later-"),
+    (_one("agpl-later") + f"({_rest('gpl-warranty')})?({_rest('agpl-see')})?", "AGPL-or-later-"),
+    (_one("mpl-named") + _rest("mpl-obtain"), "MPL-"),
+]
+WORDS = "[a-z0-9_]+(?:[ \n][a-z0-9_]+){0,11}?"
+
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences, a line each at least; blank ones are left out."""
-    text = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    text = F.regexp_replace(text, "([.!?;:])[ \t\r]+", "$1\n")
+def pieces(text: Column) -> Column:
+    """The normalised text, a piece on each line, a line break before and after; blank lines stay."""
+    text = F.translate(F.concat(F.lit("\n"), F.coalesce(text, F.lit("")), F.lit("\n")), UPPER, LOWER)
+    text = F.regexp_replace(text, "([.!?;:])[ \t\r]++(?!\n)", "$1\n")
+    text = F.regexp_replace(text, "(gpl-[0-9.]+)[+]", "$1-or-later")
     for _ in range(2):  # the second time for 1.2.3
         text = F.regexp_replace(text, "([0-9])[.]([0-9])", "$1_$2")
     text = F.regexp_replace(text, "[^a-z0-9_\n]+", " ")
-    return F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: s != "")
+    return F.regexp_replace(text, " ?\n ?", "\n")
+
+
+def _normalised(sentence: str) -> str:
+    """What pieces makes of a sentence, on one line; # and <> stay."""
+    return re.sub("[^a-z0-9_#<>]+", " ", sentence.lower()).strip()
+
+
+def known_sentences() -> dict[str, str]:
+    """All known sentences, normalised, and their identifiers."""
+    out = {_normalised(s): i for s, i in OFFICIAL.items()} | KNOWN
+    out |= {f"{opening} {name}": i for opening in [*OPENINGS, *MORE_OPENINGS] for name, i in (NAMES | MORE_NAMES).items()}
+    named = {s: i for s, i in out.items() if i in BRACKETED}
+    out |= {f"{s} {end}": i for s, i in named.items() for end in ["the license", *BRACKETED[i]]}
+    return out | {f"{SPDX} {name}": i for name, i in SPDX_NAMES.items()}
+
+
+def _pattern(sentence: str) -> str:
+    """A pattern for a normalised sentence over pieces."""
+    return sentence.replace(" ", "[ \n]").replace("#", "[0-9]+(?:_[0-9]+)*").replace("<>", WORDS)
+
+
+def _any(sentences: Iterable[str]) -> str:
+    """A pattern for any of the sentences, longer ones first, by common first words: a line is held against few."""
+    branches: dict[str, list[str]] = {}
+    for s in sorted(sentences, key=lambda s: (-len(s), s)):
+        first, _, rest = s.partition(" ")
+        branches.setdefault(first, []).append(rest)
+    return "|".join(f"{_pattern(first)}(?:{'|'.join(_pattern(f' {r}') if r else '' for r in rest)})" for first, rest in branches.items())
 
 
 def _naming(name: str) -> Callable[[Column], Column]:
@@ -108,19 +189,32 @@ def _naming(name: str) -> Callable[[Column], Column]:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_sentences, identifiers (in order, comma before each, @ and the version), licenses (sorted, | between) and n_loose of every row."""
-    known = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    cut = docs.select("doc_id", sentences(F.col("text").cast("string")).alias("sentences"))
+    """doc_id, n_sentences (pieces that are not blank), identifiers (in order, comma before each, @ and the version), licenses (sorted, | between) and n_loose of every row."""
+    sentences = known_sentences()
+    known = F.create_map(*[F.lit(x) for pair in sentences.items() if "<>" not in pair[0] for x in pair])
+    pattern = f"\\n(?:{_pattern(SPDX)}[ \\n][a-z0-9_ ]+|{_any(s for s in sentences if not s.startswith(SPDX))})(?=\\n)"
+    open_ = [(f"^{_pattern(s)}$", i) for s, i in sentences.items() if "<>" in s]
+
+    cut = docs.select("doc_id", pieces(F.col("text").cast("string")).alias("pieces"))
+    hits = F.transform(F.regexp_extract_all("pieces", F.lit(pattern), F.lit(0)), lambda s: F.translate(F.substring(s, 2, 1 << 30), "\n", " "))
+
+    def alone(s: Column) -> Column:
+        """Each licence of an SPDX expression as a sentence of its own."""
+        names = F.split(F.regexp_replace(s, f"^{SPDX} ", ""), " (?:and|or) (?!later)")
+        return F.when(s.startswith(SPDX), F.transform(names, lambda n: F.concat(F.lit(f"{SPDX} "), F.regexp_replace(n, " with .*", "")))).otherwise(F.array(s))
 
     def identifier(s: Column) -> Column:
         version = F.translate(F.regexp_extract(s, VERSION, 0), "_", ".")
-        return F.concat(F.lit(","), F.element_at(known, F.regexp_replace(s, VERSION, "#")), F.lit("@"), version)
+        closed = F.concat(F.element_at(known, F.regexp_replace(s, VERSION, "#")), F.lit("@"), version)
+        # The words that <> stands for may hold numbers: no version.
+        return F.concat(F.lit(","), F.coalesce(closed, *[F.when(s.rlike(p), F.lit(f"{i}@")) for p, i in open_]))
 
-    found = F.filter(F.transform("sentences", identifier), lambda x: x.isNotNull())
-    out = cut.select("doc_id", F.size("sentences").alias("n_sentences"), F.array_join(found, "").alias("identifiers"))
+    found = F.transform(F.flatten(F.transform(hits, alone)), identifier)
+    n_sentences = F.size(F.filter(F.split("pieces", "\n"), lambda s: s != ""))
+    out = cut.select("doc_id", n_sentences.alias("n_sentences"), F.array_join(found, "").alias("identifiers"))
     left, names = F.col("identifiers"), F.array().cast("array<string>")
     steps = out.withColumn("left", left).withColumn("names", names)
-    for pattern, name in RULES:
+    for pattern, name in MORE_RULES + RULES:
         hits = F.transform(F.regexp_extract_all("left", F.lit(pattern), 1), _naming(name))
         steps = steps.select("doc_id", "n_sentences", "identifiers", F.regexp_replace("left", pattern, ",").alias("left"), F.concat("names", hits).alias("names"))
     loose = F.length("left") - F.length(F.translate("left", "@", ""))

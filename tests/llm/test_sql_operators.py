@@ -47,6 +47,119 @@ def test_licences(spark):
     assert got == [("", 0), ("", 0), ("Apache-2.0", 0), ("MIT", 0), ("CC-BY-NC-4.0|MIT", 0), ("", 1), ("Apache-1.2.3", 0), ("", 0), ("", 1), ("Apache-2.0", 0)]
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{endorse}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+ENDORSE = """
+3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL_TEXT = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_official_texts(spark):
+    """Texts with line breaks as they are published, also behind comment signs and with other line ends."""
+    three = [BSD_TEXT.format(endorse=ENDORSE.format(name)) for name in ("the copyright holder", "Example 2 Corp.")]
+    want = [
+        (MIT_TEXT, "MIT"),
+        (BSD_TEXT.format(endorse=""), "BSD-2-Clause"),
+        (three[0], "BSD-3-Clause"),
+        (three[1].replace("Corp.", "Corp"), "BSD-3-Clause"),
+        (APACHE_TEXT, "Apache-2.0"),
+        (GPL_TEXT, "GPL-or-later-2"),
+        (GPL_TEXT.replace("software;", "software:").replace("version 2", "version 3"), "GPL-or-later-3"),
+        (GPL_TEXT.replace("program", "library").replace("GNU", "GNU Lesser").replace("version 2", "version 2.1"), "LGPL-or-later-2.1"),
+        (MPL_TEXT, "MPL-2.0"),
+    ]
+    forms = [lambda t: t, lambda t: "".join(f" * {line}\n" for line in t.splitlines()), lambda t: "".join(f"# {line} \r\n" for line in t.splitlines())]
+    for form in forms:
+        assert scan(spark, *[f"some code\n\n{form(t)}\nmore code" for t, _ in want]) == [(name, 0) for _, name in want]
+
+
+def test_licence_forms(spark):
+    want = [
+        ("This file is licensed under the MIT License (MIT).", "MIT"),
+        ("It is good. This file is released under the\nApache License, Version 2.0 (Apache-2.0). Done", "Apache-2.0"),
+        ("Licensed under the GNU General Public License version 3 (GPLv3).", "GPL-3"),
+        ("// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+        ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("/* SPDX-License-Identifier:GPL-2.0-only */", "GPL-2.0"),
+        ("SPDX-License-Identifier: GPL-2.0+ WITH Linux-syscall-note", "GPL-or-later-2.0"),
+        ("SPDX-License-Identifier: (LGPL-2.1-or-later OR MIT OR ISC)", "LGPL-or-later-2.1|MIT"),
+        ("SPDX-License-Identifier: CC-BY-SA-4.0", "CC-BY-SA-4.0"),
+        ("SPDX-License-Identifier: BSD-3-Clause", "BSD-clauses-3"),
+        ("Released under the MIT\n\nLicense.", ""),
+        ("Released under the MIT License, or not.", ""),
+    ]
+    assert scan(spark, *[t for t, _ in want]) == [(name, 0) for _, name in want]
+
+
 def test_licences_of_no_rows(spark):
     assert scan(spark) == []
 
