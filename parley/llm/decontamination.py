@@ -2,31 +2,42 @@
 
 Texts become templates: numbers, names (capitalised words within a sentence) and units after numbers give way to typed
 placeholders, the rest is lower-cased and loses its punctuation. Windows of WINDOW template words of the benchmark are
-hash-joined with every STRIDE-th window of the documents, which meets every common run of WINDOW + STRIDE - 1 words. Each
+hash-joined with every window of the documents, which meets every common run of WINDOW words wherever it stands. Each
 match fixes how an item would lie in a document; along it all words are compared, and the values behind equal placeholders
 must correspond: one value of the item, one value of the document. So a question whose numbers or names were exchanged
 throughout is found, and chance likeness of templates is not.
 
-Documents are read twice; the second time only those with a match are made into templates. Windows with fewer than
-TELLING words that are not placeholders are no evidence.
+Windows with fewer than TELLING words that are not placeholders are no evidence. Items without a window that is, from their
+second word on (the first may be read as a name within a document), are short or mostly placeholders. They are joined
+as a whole: by all their words, values included, and, if TELLING words from the second on are no placeholders, by their
+template. All their words must agree. Each distinct length of such items costs one more hash for each word of a document.
 
-Defined results: null and empty texts, and items shorter than a window, match nothing; rows with equal ids and texts give one
-result; a null id is a document like any other; an empty benchmark finds nothing.
+Documents are read twice; the second time only those with a match are made into templates.
+
+Defined results: null and empty texts match nothing; rows with equal ids and texts give one result; a null id is a document
+like any other; an empty benchmark finds nothing. The SQL looks up every STRIDE-th window only and joins no whole items:
+what it finds, matches() finds too.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.chunks import settled
 
-WINDOW, STRIDE, TELLING = 8, 4, 5
+WINDOW, TELLING = 8, 5
+#: Of the SQL only.
+STRIDE = 4
 #: Words along the item that must agree: half of it, RUN at most, WINDOW at least.
 RUN = 13
 #: Benchmark windows up to which they are broadcast, 24 bytes each.
 BROADCAST_WINDOWS = 500_000
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
+#: Kinds of keys of whole items.
+LITERAL, LOOSE = "literal", "loose"
 BLANK = r"[ \t\n\x0B\f\r]"
 # Units of measure and currency that may follow a number.
 UNITS = "mm|cm|m|km|mg|g|kg|ml|l|s|h|hz|w|kw|v|in|ft|mi|lb|lbs|oz|inch|inches|foot|feet|yard|yards|mile|miles|meter|meters|metre|metres|kilometer|kilometers|kilometre|kilometres|gram|grams|kilogram|kilograms|pound|pounds|liter|liters|litre|litres|gallon|gallons|second|seconds|minute|minutes|hour|hours|day|days|week|weeks|month|months|year|years|degree|degrees|percent|dollar|dollars|cent|cents|euro|euros"
@@ -51,11 +62,16 @@ def word_list(text: Column) -> Column:
     return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
 
 
-def window_hashes(words: Column, stride: int) -> Column:
-    """(at, key) of every stride-th window."""
-    last = F.size(words) - WINDOW
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(stride))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, F.lit(WINDOW))).alias("key")))
+def window_hashes(words: Column, size: int = WINDOW, *kind: Column) -> Column:
+    """(at, key) of every window of so many words; keys of another kind are other keys."""
+    last = F.size(words) - size
+    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, F.lit(size)), *kind).alias("key")))
+
+
+def plain(text: Column) -> Column:
+    """A marked text, or a word of it, without marks."""
+    return F.translate(text, NAME + NUMBER + UNIT, "")
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -67,16 +83,29 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, at (the item's place in the document's words), n_matched, n_item, n_slots, n_changed of all leaks."""
     items = settled(items_of(benchmark.select("item_id", "text")))
-    telling = F.size(F.filter(F.slice("item_words", F.col("w.at") + 1, F.lit(WINDOW)), lambda w: ~w.isin(NAME, NUMBER, UNIT)))
-    windows = items.withColumn("w", F.explode(window_hashes(F.col("item_words"), 1))).where(telling >= TELLING)
-    windows = settled(windows.select(F.col("w.key").alias("key"), "item_id", F.col("w.at").alias("item_at")))
-    known = F.broadcast(windows) if windows.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else windows
+
+    def telling(words: Column) -> Column:
+        return F.size(F.filter(words, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
+
+    windows = items.withColumn("w", F.explode(window_hashes(F.col("item_words")))).where(telling(F.slice("item_words", F.col("w.at") + 1, F.lit(WINDOW))) >= TELLING)
+    windows = settled(windows.select(F.col("w.key").alias("key"), "item_id", F.col("w.at").alias("item_at"), F.lit(False).alias("whole")))
+    n, rest = F.size("item_words"), F.slice("item_words", 2, F.greatest(F.lit(0), F.size("item_words") - 1))
+    found_by_window = windows.where("item_at > 0").select("item_id").distinct()
+    short = settled(items.where(n > 0).join(found_by_window, "item_id", "left_anti").withColumn("literal", F.transform("item_values", plain)))
+    exact = short.select(F.xxhash64("literal", F.lit(LITERAL)).alias("key"), "item_id", F.lit(0).alias("item_at"), F.lit(True).alias("whole"), n.alias("size"))
+    loose = short.where(telling(rest) >= TELLING).select(F.xxhash64(rest, F.lit(LOOSE)).alias("key"), "item_id", F.lit(1).alias("item_at"), F.lit(True).alias("whole"), (n - 1).alias("size"))
+    exact_sizes, loose_sizes = (sorted(r["size"] for r in x.select("size").distinct().collect()) for x in (exact, loose))
+    known = windows.union(exact.union(loose).drop("size")) if exact_sizes else windows
+    known = F.broadcast(known) if known.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS else known
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
-    words = keyed.select("doc_id", "text_key", word_list(template(marked(F.col("text")))).alias("words"))
-    places = words.select("doc_id", "text_key", F.explode(window_hashes(F.col("words"), STRIDE)).alias("w")).select("doc_id", "text_key", F.col("w.at").alias("at"), F.col("w.key").alias("key"))
-    lies = settled(places.join(known, "key").select("doc_id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("at")).distinct())
+    cut = keyed.select("doc_id", "text_key", marked(F.col("text")).alias("marked"))
+    words = cut.select("doc_id", "text_key", word_list(template(F.col("marked"))).alias("words"), *[word_list(plain(F.col("marked"))).alias("literal")][: len(exact_sizes)])
+    hashes = [window_hashes(F.col("words")), *(window_hashes(F.col("literal"), k, F.lit(LITERAL)) for k in exact_sizes), *(window_hashes(F.col("words"), k, F.lit(LOOSE)) for k in loose_sizes)]
+    places = words.select("doc_id", "text_key", F.explode(F.concat(*hashes)).alias("w")).select("doc_id", "text_key", F.col("w.at").alias("at"), F.col("w.key").alias("key"))
+    lies = places.join(known, "key").select("doc_id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("at"), "whole")
+    lies = settled(lies.groupBy("doc_id", "text_key", "item_id", "at").agg(F.max("whole").alias("whole"), F.max(~F.col("whole")).alias("by_window")))
 
     found = lies.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()
     values = keyed.join(found, F.col("text_key").eqNullSafe(F.col("found_key")) & F.col("doc_id").eqNullSafe(F.col("found_id")), "left_semi").distinct()
@@ -94,12 +123,24 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.slice("item_values", here, F.col("size")).alias("item_value"),
         F.slice("doc_values", there, F.col("size")).alias("doc_value"),
     )
-    agreed = part.select("doc_id", "text_key", "item_id", "at", F.size("item_words").alias("n_item"), F.filter(pairs, lambda p: p["item"] == p["doc"]).alias("agreed"))
-    slots = F.array_distinct(F.transform(F.filter("agreed", lambda p: p["item"].isin(NAME, NUMBER, UNIT)), lambda p: F.struct(p["item_value"].alias("item_value"), p["doc_value"].alias("doc_value"))))
-    counted = agreed.select("doc_id", "text_key", "item_id", "at", "n_item", F.size("agreed").alias("n_matched"), slots.alias("slots"))
-    consistent = F.size(F.array_distinct(F.col("slots.item_value"))) == F.size("slots")
+    pairs = part.select("doc_id", "text_key", "item_id", "at", "whole", "by_window", F.size("item_words").alias("n_item"), pairs.alias("pairs"))
+    pairs = pairs.withColumn("agreed", F.filter("pairs", lambda p: p["item"] == p["doc"]))
+
+    def slots_of(pairs: Column, value: Callable[[Column], Column]) -> Column:
+        slots = F.filter(pairs, lambda p: p["item"].isin(NAME, NUMBER, UNIT))
+        return F.array_distinct(F.transform(slots, lambda p: F.struct(value(p["item_value"]).alias("item_value"), value(p["doc_value"]).alias("doc_value"))))
+
+    def consistent(slots: str) -> Column:
+        return F.size(F.array_distinct(F.col(f"{slots}.item_value"))) == F.size(slots)
+
+    slotted = pairs.withColumn("slots", slots_of(F.col("agreed"), lambda v: v)).withColumn("whole_slots", slots_of(F.col("pairs"), plain))
     enough = F.greatest(F.lit(WINDOW), F.least(F.lit(RUN), F.ceil(F.col("n_item") / 2)))
-    return counted.where(consistent & (F.col("n_matched") >= enough)).select(
+    by_window = F.col("by_window") & consistent("slots") & (F.size("agreed") >= enough)
+    all_agree = F.forall("pairs", lambda p: (p["item"] == p["doc"]) | (plain(p["item_value"]) == plain(p["doc_value"])))
+    as_whole = F.col("whole") & (F.col("at") >= 0) & (F.size("pairs") == F.col("n_item")) & all_agree & consistent("whole_slots")
+    judged = slotted.withColumn("by_window", by_window).where(F.col("by_window") | as_whole)
+    counted = judged.select("doc_id", "text_key", "item_id", "at", F.when(F.col("by_window"), F.size("agreed")).otherwise(F.col("n_item")).alias("n_matched"), "n_item", F.when(F.col("by_window"), F.col("slots")).otherwise(F.col("whole_slots")).alias("slots"))
+    return counted.select(
         "doc_id", "text_key", "item_id", "at", "n_matched", "n_item", F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda s: s["item_value"] != s["doc_value"])).alias("n_changed")
     )
 

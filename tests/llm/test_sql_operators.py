@@ -199,6 +199,34 @@ def test_slots_must_correspond(spark):
     assert set(got) == {(0, 1)}
 
 
+RIVER = "Which river flows through the capital city of France"
+
+
+def test_items_are_found_at_any_place(spark):
+    """Short runs, whatever the number of words before them, also when the first word is read as a name."""
+    nine, eight = RIVER, RIVER.replace(" capital", "")
+    texts = [f"{'so ' * k}{item} {'and ' * (k % 3)}" for item in (nine, eight) for k in range(9)]
+    got = leaks(spark, texts, [(1, nine), (2, eight)])
+    assert set(got) == {(d, 1 + d // 9) for d in range(18)}
+
+
+def test_broken_runs_are_found(spark):
+    """A name of one word that becomes two leaves runs of eight and seven words."""
+    item = "a very old man from that town met Anna near the small harbour of our island"
+    got = leaks(spark, ["so " * k + item.replace("Anna", "Anna Maria") for k in range(8)], [(1, item)])
+    assert {d for d, _ in got} == set(range(8))
+
+
+def test_short_items(spark):
+    items = [(1, "What is the capital of Peru?"), (2, "12 + 30 = 42"), (3, "Tom has 3 red apples and gave 2 away"), (4, "Tom Lee 4 5 Kim Ray 6 7 Al Bo 8 9"), (5, "..."), (6, "")]
+    texts = ["so " * k + text for text in ("what is the capital of Peru", "12 + 30 = 42", "Bob has 8 red apples and gave 5 away", "the Tom Lee 4 5 Kim Ray 6 7 Al Bo 8 9 end") for k in range(4)]
+    clean = ["what is the capital then of Peru", "13 + 30 = 43", "Bob has 8 green apples and gave 5 away", "the Tom Lee 4 5 Kim Ray 6 7 Al Bo 8 8 end", "what is the capital of Chile"]
+    got = leaks(spark, texts + clean, items)
+    # The last clean text has the first item's template, of which only four words tell.
+    assert {d: i for d, i in got if d < 16} == {d: 1 + d // 4 for d in range(16)}
+    assert not {d for d, _ in got if d >= 16}
+
+
 def test_leaks_without_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
     assert set(leaks(spark, [ITEM, "nothing of it"])) == {(0, 1)}
