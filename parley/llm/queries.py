@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontamination, jaccard_join, license_scan, maxent_lm, packing, quality_classifier, quality_rules, substring_dedup, toxicity, url_filters
+from parley.llm import (
+    centroid_clustering,
+    decontamination,
+    fast_similarity,
+    jaccard_join,
+    license_scan,
+    maxent_lm,
+    packing,
+    quality_classifier,
+    quality_rules,
+    source_divergence,
+    substring_dedup,
+    toxicity,
+    url_filters,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +83,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.with_inertia(*centroid_clustering.centroid_clustering(table(spark, sf_dir, "embeddings")))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_fast_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fast_similarity.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent_lm": op1_maxent_lm,
     "op2_license_scan": op2_license_scan,
@@ -80,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_fast_similarity": op13_fast_similarity,
 }
 
 ORACLE: dict[str, str] = {
@@ -88,4 +117,7 @@ ORACLE: dict[str, str] = {
     "op7_jaccard_join": jaccard_join.oracle_sql(),
     "op8_decontamination": decontamination.oracle_sql(),
     "op10_url_filters": url_filters.oracle_sql(URL_RULES),
+    "op11_centroid_clustering": centroid_clustering.oracle_sql(),
+    "op12_source_divergence": source_divergence.oracle_sql(),
+    "op13_fast_similarity": fast_similarity.oracle_sql(),
 }
