@@ -217,7 +217,7 @@ SHARE = ["key", "low", "high"]
 
 
 def further_links(members: DataFrame, marks: DataFrame, labels: DataFrame, chunks: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """At least one link between any two components of labels (node, component) that have one and share a bucket."""
+    """A link (a, b), by their names, between any two components of labels (node, component) that have one and share a bucket."""
     placed = members.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Rank: the size of the component, then its name; of two sets the one of lower rank asks the other.
     sizes = placed.select("node", "component").distinct().groupBy("component").agg(F.count("*").alias("members"))
@@ -256,19 +256,18 @@ def further_links(members: DataFrame, marks: DataFrame, labels: DataFrame, chunk
             flat, owner = np.concatenate(theirs), np.repeat(np.arange(len(theirs)), n)
             order = np.argsort(flat, kind="stable")
             flat, owner = flat[order], owner[order]
-            nodes, component = y.column("node").to_numpy(), y.column("component").to_numpy()
-            for i, (node, tokens) in enumerate(zip(x.column("node").to_pylist(), x.column("tokens"), strict=True)):
+            component = y.column("component").to_numpy()
+            for i, (name, tokens) in enumerate(zip(x.column("component").to_pylist(), x.column("tokens"), strict=True)):
                 if not may[i].any():
                     continue
                 own = unpack_sorted(tokens.as_py())
                 low, high = np.searchsorted(flat, own), np.searchsorted(flat, own, side="right")
                 many = high - low
                 shared = np.bincount(owner[np.repeat(low - (np.cumsum(many) - many), many) + np.arange(many.sum())], minlength=len(theirs))
-                hits = np.flatnonzero(may[i] & (100 * shared >= percent * (len(own) + n - shared)))
                 # One link for each component that has one.
-                _, lead = np.unique(component[hits], return_index=True)
-                a += [node] * len(lead)
-                b += nodes[hits[lead]].tolist()
+                met = np.unique(component[may[i] & (100 * shared >= percent * (len(own) + n - shared))])
+                a += [name] * len(met)
+                b += met.tolist()
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     asking, asked = dealt(live.where("asks").drop("asks", "is_asked"), live.where("is_asked").drop("asks", "is_asked"))
@@ -288,11 +287,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", size: int = SHINGLE, pe
     several = keyed.groupBy("key").agg(F.count("*").alias("held")).where("held > 1")
     members = settled(keyed.join(several, "key"))
     links = first_links(members, classes, chunks, text, size, percent)
-    more = further_links(members, classes, components(links), chunks, text, size, percent)
-    joined = components(links.unionByName(more))
-    placed = classes.select("n", "one", "two", "node", "least").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    leasts = placed.groupBy("component").agg(F.min("least").alias("first"))
-    known = placed.join(leasts, "component").select("n", "one", "two", F.col("first.doc_id").alias("component_id"))
+    labels = components(links)
+    joined = components(further_links(members, classes, labels, chunks, text, size, percent)).toDF("first", "joined")
+    placed = classes.select("n", "one", "two", "node", "least").join(labels, "node", "left").withColumn("first", F.coalesce("component", "node"))
+    placed = placed.join(joined, "first", "left").withColumn("component", F.coalesce("joined", "first")).drop("first")
+    leasts = placed.groupBy("component").agg(F.min("least").alias("id"))
+    known = placed.join(leasts, "component").select("n", "one", "two", F.col("id.doc_id").alias("component_id"))
     alone = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     every = rows.select("doc_id", "n", "one", "two").join(known, ["n", "one", "two"]).select("doc_id", "n", "component_id").unionByName(alone)
     return every.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
