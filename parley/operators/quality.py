@@ -1,10 +1,10 @@
 """Data-quality operators: each returns the rows that break its rule; null breaks only ``not_null``."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from parley.operators.segments import ROWS_PER_SEGMENT
@@ -125,15 +125,46 @@ def report(df: DataFrame, row_checks: Sequence[RowCheck], set_checks: Sequence[S
 
     All row checks share one pass over the table; only their counts leave the tasks.
     """
-    counts = df.agg(*[F.count_if(check.breaks).alias(f"c{i}") for i, check in enumerate(row_checks)])
+    counts = df.agg(*_counts(row_checks))
     lines = F.array(
         *[_line(check, F.col(f"c{i}")) for i, check in enumerate(row_checks)]
     )
-    findings = counts.select(F.inline(lines))
+    return with_outcome(_with_sets(counts.select(F.inline(lines)), set_checks))
+
+
+def checked_while_written(
+    df: DataFrame,
+    row_checks: Sequence[RowCheck],
+    write: Callable[[DataFrame], DataFrame],
+    set_checks: Callable[[DataFrame], Sequence[SetCheck]],
+) -> tuple[DataFrame, DataFrame]:
+    """The table that ``write`` wrote and returned, and its report.
+
+    Row checks are counted while the rows pass to the files (observed metrics of the writing tasks), so they cost no read
+    at all. Set checks read their few columns of what was written. ``write`` must write the rows as they come: behind a
+    further exchange a lost executor would have rows counted again.
+    """
+    seen = Observation()
+    written = write(df.observe(seen, *_counts(row_checks)))
+    counted = seen.get
+    found = [(c.rule, c.subject, c.severity, int(counted[f"c{i}"])) for i, c in enumerate(row_checks)]
+    findings = df.sparkSession.createDataFrame(found, "rule string, subject string, severity string, failures bigint")
+    return written, with_outcome(_with_sets(findings, set_checks(written)))
+
+
+def _counts(row_checks: Sequence[RowCheck]) -> list[Column]:
+    return [F.count_if(check.breaks).alias(f"c{i}") for i, check in enumerate(row_checks)]
+
+
+def _with_sets(findings: DataFrame, set_checks: Sequence[SetCheck]) -> DataFrame:
     for check in set_checks:
         each = F.col("failures") if "failures" in check.failing.columns else F.lit(1)
         total = check.failing.agg(F.coalesce(F.sum(each), F.lit(0)).cast("bigint").alias("n"))
         findings = findings.union(total.select(F.inline(F.array(_line(check, F.col("n"))))))
+    return findings
+
+
+def with_outcome(findings: DataFrame) -> DataFrame:
     outcome = F.when(F.col("failures") == 0, "pass").otherwise(
         F.when(F.col("severity") == "warn", "warn").otherwise("fail")
     )

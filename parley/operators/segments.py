@@ -89,18 +89,19 @@ def with_halo(
 
     Adds ``segment`` and ``is_own``. The last ``before`` rows of a segment appear again at the head of
     the next one and the first ``after`` rows at the tail of the previous one, with ``is_own`` false:
-    windows reach over the cut through these copies, which are dropped afterwards.
+    windows reach over the cut through these copies, which are dropped afterwards. The copies are taken by filters of
+    their own, whose first part is a bound on the position that the statistics of a table answer: where no group is
+    longer than a segment, nothing is read for them.
     """
     if rows_per_segment <= before + after:
         raise ValueError("a segment must be longer than its halo")
     index = F.col(position) - 1
     home = F.floor(index / F.lit(rows_per_segment)).cast("bigint")
     offset = index % rows_per_segment
-    copies = (
-        F.when(offset >= rows_per_segment - before, F.array(home, home + 1))
-        .when((offset < after) & (home > 0), F.array(home, home - 1))
-        .otherwise(F.array(home))
-    )
-    return rows.withColumn("segment", F.explode(copies)).withColumn(
-        "is_own", F.col("segment") == home
-    )
+
+    def placed(part: DataFrame, segment: Column, own: bool) -> DataFrame:
+        return part.withColumns({"segment": segment, "is_own": F.lit(own)})
+
+    last = rows.filter((F.col(position) > rows_per_segment - before) & (offset >= rows_per_segment - before))
+    first = rows.filter((F.col(position) > rows_per_segment) & (offset < after))
+    return placed(rows, home, True).unionByName(placed(last, home + 1, False)).unionByName(placed(first, home - 1, False))

@@ -10,6 +10,7 @@ from parley.functions.moments import days_between
 from parley.functions.phones import is_group_identifier
 from parley.functions.rules import first_match, holds, share, up_to
 from parley.functions.texts import concat_nulls_empty, ellipsize, not_blank
+from parley.plans.messages import with_length
 
 # Thresholds, labels and weights of the classes and the score.
 RECENCY = [(7, "very_active"), (30, "active"), (90, "moderately_active"), (365, "inactive")]
@@ -62,8 +63,8 @@ def _by_day(typed: DataFrame) -> DataFrame:
     map-side combine and nothing else."""
     sent, received = F.col("is_from_me"), ~F.col("is_from_me")
     at, sequence = F.col("message_date"), F.col("message_sequence")
-    length = F.length("message_text")
-    return typed.groupBy(*CONVERSATION_KEYS, F.to_date(at).alias("day")).agg(
+    length = F.col("message_length")
+    return with_length(typed).groupBy(*CONVERSATION_KEYS, F.to_date(at).alias("day")).agg(
         F.count("*").alias("messages"),
         F.count_if(sent).alias("sent"),
         F.count_if(received).alias("received"),

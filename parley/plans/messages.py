@@ -13,9 +13,12 @@ from parley.functions.moments import (
     seconds_between,
 )
 from parley.functions.rules import holds
+from parley.functions.texts import char_count
 from parley.operators import segments
 from parley.plans.contacts import chat_contacts, chat_identity
 from parley.plans.staging import with_backfilled_text
+from parley.session import new_table_path
+from parley.sources.tables import write_clustered
 
 CONTEXT = ["message_date", "is_from_me"]
 
@@ -163,3 +166,24 @@ def int_messages(
         .select(MESSAGE_COLUMNS)
     )
     return messages.orderBy("chat_id", F.asc_nulls_last("message_date")) if ordered else messages
+
+
+#: What tells the rows of the message table apart, and what its written form is clustered by.
+POSITION = ["chat_id", "message_sequence"]
+
+
+def with_length(messages: DataFrame) -> DataFrame:
+    """Messages with ``message_length``; a written table has it as a column, so that figures on lengths read no text."""
+    if "message_length" in messages.columns:
+        return messages
+    return messages.withColumn("message_length", char_count(F.col("message_text")))
+
+
+def written_messages(messages: DataFrame, path: str | None = None, table: str | None = None) -> DataFrame:
+    """The message table written for the models that build on it: by chat and position, with lengths.
+
+    Conversations, the time series and the contract read it column-pruned; texts join the series' figures by position
+    where they lie. Without ``path`` it is written below the shared folder.
+    """
+    path = path or new_table_path(messages.sparkSession)
+    return write_clustered(with_length(messages), path, POSITION, table=table)

@@ -59,12 +59,12 @@ def rebuild(
     def int_messages_of(**options) -> DataFrame:
         return messages.int_messages(staging.stg_message(message), link, chat, normalized, decode_fn=decode_fn, **options)
 
-    int_messages = model("int_messages", int_messages_of())
+    int_messages = messages.written_messages(int_messages_of(), f"{model_dir}/int_messages")
+    models["int_messages"] = int_messages.select(messages.MESSAGE_COLUMNS)
     model("int_conversations", conversations.int_conversations(int_messages_of(dedupe_contacts=True)))
     model("int_message_threads", threads.message_threads(staging.stg_message(message)))
     model("mart_conversations", conversations.mart_conversations(int_messages, as_of))
-    series = model(
-        "mart_message_timeseries", timeseries.mart_message_timeseries(int_messages, first_name)
-    )
-    model("contract_report", contract.timeseries_report(series))
+    series = timeseries.mart_message_timeseries(int_messages, first_name)
+    _, report = contract.written_with_report(series, lambda rows: model("mart_message_timeseries", rows))
+    model("contract_report", report)
     return models

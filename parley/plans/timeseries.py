@@ -11,8 +11,9 @@ from parley.functions.moments import (
     truncated,
 )
 from parley.functions.rules import at_least, holds, up_to
-from parley.functions.texts import char_count, concat_nulls_empty, ellipsize
+from parley.functions.texts import concat_nulls_empty, ellipsize
 from parley.operators.segments import ROWS_PER_SEGMENT, with_halo
+from parley.plans.messages import POSITION, with_length
 
 # Thresholds and labels of the classes.
 SESSION_GAP_MINUTES = 30
@@ -24,6 +25,8 @@ LENGTH_CLASSES = [(10, "very_short"), (50, "short"), (200, "medium"), (500, "lon
 MOMENTUM_ROWS = 10
 LENGTH_ROWS = 5
 LINE_CHARS = 200
+# What the windows look at, besides the position.
+FIGURES_FROM = ["message_date", "is_from_me", "partner_display_name", "message_length"]
 
 
 def message_base(int_messages: DataFrame) -> DataFrame:
@@ -90,18 +93,25 @@ def windowed_metrics(
 ) -> DataFrame:
     """Neighbours, gaps, running and rolling figures of each message within its chat.
 
-    Rows are ordered by ``message_sequence``, so one exchange and one sort on (chat, segment) serve all
-    windows, the daily position included. With ``first_name`` only segments that hold a message of that
-    contact are computed at all, and only its messages are returned.
+    Windows run over narrow rows: who, when, how long. Ordered by ``message_sequence``, one exchange and one sort on
+    (chat, segment) serve all of them, the daily position included. Texts and all other columns join the figures
+    by (chat, position); from the written table (``messages.written_messages``) they come as they lie, without an exchange.
+
+    With ``first_name`` the (chat, segment) pairs that hold a message of that contact are looked up first and only
+    these are computed; the wide rows are read by a filter on the name, which the scan answers from the statistics of pages
+    that hold neighbouring messages of a chat.
     """
-    base = message_base(int_messages)
-    offsets = chat_offsets(base, rows_per_segment)
-    rows = with_halo(base, "message_sequence", LENGTH_ROWS - 1, 1, rows_per_segment)
+    base = with_length(message_base(int_messages))
+    narrow = base.select(*POSITION, *FIGURES_FROM)
+    offsets = chat_offsets(narrow, rows_per_segment)
+    rows = with_halo(narrow, "message_sequence", LENGTH_ROWS - 1, 1, rows_per_segment)
     if first_name is not None:
-        wanted = rows.filter(F.col("is_own") & (F.col("first_name") == first_name))
-        rows = rows.join(
-            wanted.select("chat_id", "segment").distinct(), ["chat_id", "segment"], "left_semi"
+        base = base.filter(F.col("first_name") == first_name)
+        wanted = base.select(
+            "chat_id",
+            F.floor((F.col("message_sequence") - 1) / F.lit(rows_per_segment)).cast("bigint").alias("segment"),
         )
+        rows = rows.join(wanted.distinct(), ["chat_id", "segment"], "left_semi")
 
     order = Window.partitionBy("chat_id", "segment").orderBy("message_sequence")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -127,42 +137,34 @@ def windowed_metrics(
         "avg_length_last_5_messages": F.avg("message_length").over(last_five),
     }
     zero = F.lit(0)
-    metrics = (
-        rows.withColumns(
-            {
-                "message_date_day": truncated("day", at),
-                "message_length": char_count(F.col("message_text")),
-            }
-        )
+    figures = (
+        rows.withColumn("message_date_day", truncated("day", at))
         .withColumns(neighbours)
         .withColumns(running)
         .filter("is_own")
         .join(offsets, ["chat_id", "segment"], "left")
-        .withColumns(
-            {
-                "minutes_since_prev_message": minutes_between(F.col("prev_message_date"), at),
-                "minutes_until_next_message": minutes_between(at, F.col("next_message_date")),
-                "daily_message_sequence": sequence
-                - F.coalesce("day_start_here", "open_day_start")
-                + 1,
-                "cumulative_messages_in_conversation": sequence,
-                "cumulative_sent_in_conversation": F.col("sent_here")
-                + F.coalesce("sent_before", zero),
-                "cumulative_received_in_conversation": F.col("received_here")
-                + F.coalesce("received_before", zero),
-                "messages_last_10": F.least(sequence, F.lit(MOMENTUM_ROWS).cast("bigint")),
-                "first_message_date": F.when(
-                    F.col("segment") == 0, F.col("first_date_here")
-                ).otherwise(F.col("chat_first_date")),
-            }
-        )
-        .drop(
-            "segment", "is_own", "prev_sequence", "prev_day", "sent_here", "received_here",
-            "day_start_here", "first_date_here", "sent_before", "received_before",
-            "open_day_start", "chat_first_date",
+        .select(
+            *POSITION,
+            day,
+            "prev_message_date", "prev_message_from_me", "prev_message_sender",
+            "next_message_date", "next_message_from_me", "avg_length_last_5_messages",
+            (sequence - F.coalesce("day_start_here", "open_day_start") + 1).alias("daily_message_sequence"),
+            (F.col("sent_here") + F.coalesce("sent_before", zero)).alias("cumulative_sent_in_conversation"),
+            (F.col("received_here") + F.coalesce("received_before", zero)).alias("cumulative_received_in_conversation"),
+            F.when(F.col("segment") == 0, F.col("first_date_here"))
+            .otherwise(F.col("chat_first_date"))
+            .alias("first_message_date"),
         )
     )
-    return metrics if first_name is None else metrics.filter(F.col("first_name") == first_name)
+    # Columns of its own for either side of the join: both come from the same table.
+    return base.join(figures.toDF(*figures.columns), POSITION).withColumns(
+        {
+            "minutes_since_prev_message": minutes_between(F.col("prev_message_date"), at),
+            "minutes_until_next_message": minutes_between(at, F.col("next_message_date")),
+            "cumulative_messages_in_conversation": sequence,
+            "messages_last_10": F.least(sequence, F.lit(MOMENTUM_ROWS).cast("bigint")),
+        }
+    )
 
 
 def session_start(gap_minutes: int = SESSION_GAP_MINUTES) -> Column:
@@ -250,7 +252,8 @@ def mart_message_timeseries(
 ) -> DataFrame:
     """The message time series, of all contacts or of one first name.
 
-    ``int_messages`` is read once for the rows and once for the large chats: pass the written table.
+    ``int_messages`` is read once for the rows and, column-pruned, for the windows and the large chats: pass the written
+    table.
     """
     metrics = windowed_metrics(int_messages, first_name, rows_per_segment)
     mart = (

@@ -1,5 +1,7 @@
 """Where lineage is cut: the folder that all executors share."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -24,3 +26,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def new_table_path(spark: SparkSession) -> str:
+    """A place for a table that lives as long as its readers need it, below the shared folder, in one folder per application."""
+    return f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote through ``new_table_path``; call it when their readers are done."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

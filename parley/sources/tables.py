@@ -1,5 +1,6 @@
 """Tables in and out."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +69,30 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def write_clustered(
+    df: DataFrame, path: str, by: Sequence[str], buckets: int | None = None, table: str | None = None
+) -> DataFrame:
+    """Replace a model table in a layout that its readers can use, and return it.
+
+    Rows lie in buckets by a hash of ``by`` and in its order within a bucket. A join on exactly these columns needs no
+    exchange of this side; pages and row groups hold neighbours, so their statistics answer filters on what goes with
+    ``by``. ``by`` should tell rows apart: then no bucket is larger than the others. Buckets are as many as the session's
+    shuffle partitions, so that a side which is shuffled meets them as it is.
+
+    A layout is known through a catalog entry. With ``table`` it stays under that name; otherwise it only serves the
+    DataFrame returned here, and later readers find plain Parquet files in ``path``.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = table or f"clustered_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *by)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    written = spark.table(name)
+    if table is None:
+        spark.sql(f"DROP TABLE {name}")  # the entry; the files are elsewhere and stay
+    return written
+
+
 def preview(spark: SparkSession, path: str, rows: int = 5) -> DataFrame:
     """The first few rows of a written table."""
     return spark.read.parquet(path).limit(rows)

@@ -63,6 +63,60 @@ def test_one_exchange_serves_all_series_windows(table, plan):
     assert "EqualTo(message_sequence,2000001)" in text
 
 
+@pytest.fixture(scope="module")
+def clustered(spark, tmp_path_factory):
+    """The message table as the models write it: two chats, the contact of one of them named."""
+    rows = [message(i, f"2024-01-01 00:{i:02d}:00", sent=i % 2, chat=1 + i % 2) for i in range(30)]
+    s = sources(spark, rows, [chat(1), chat(2, "+15550000002")], [(1, "Ann", None)], [(1, "5550000001", 0)])
+    return messages.written_messages(int_messages(s), str(tmp_path_factory.mktemp("plans") / "clustered"))
+
+
+def test_no_text_moves_between_the_message_table_and_the_series(clustered, plan):
+    text = plan(timeseries.mart_message_timeseries(clustered))
+    assert lines(text, "FileScan parquet", "message_text", "Bucketed: true")
+    assert not lines(text, "Exchange", "message_text")
+    assert "Generate" not in text
+    under_windows = text[text.index("Window [") :]
+    narrow = under_windows[: under_windows.index("FileScan parquet")]
+    assert "message_text" not in narrow and "message_guid" not in narrow
+
+
+def test_no_text_below_a_window(clustered, plan):
+    """Not even where it is read from a plain table: the one text below a window is its length."""
+    text = plan(timeseries.windowed_metrics(clustered))
+    depth = None
+    for line in text.splitlines():
+        at = len(line) - len(line.lstrip(" :+-"))
+        if depth is not None and at <= depth:
+            depth = None
+        if "Window [" in line and depth is None:
+            depth = at
+        assert depth is None or "message_text" not in line
+
+
+def test_named_series_is_pruned_by_the_scan(clustered, plan):
+    text = plan(timeseries.mart_message_timeseries(clustered, first_name="Ann"))
+    wide = [x for x in lines(text, "FileScan parquet", "message_text")]
+    assert wide and all("EqualTo(first_name,Ann)" in x for x in wide)
+    assert "LeftSemi" in text
+
+
+def test_conversations_read_texts_for_the_preview_only(clustered, plan):
+    text = plan(conversations.mart_conversations(clustered, date(2024, 2, 2)))
+    scans = lines(text, "FileScan parquet")
+    assert len([x for x in scans if "message_text" in x.split("ReadSchema")[1]]) == 1 < len(scans)
+
+
+def test_clustered_table_keeps_its_rows_and_a_catalog_name(spark, clustered, tmp_path):
+    assert clustered.count() == 30 and "message_length" in clustered.columns
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("clustered_")]
+    kept = messages.written_messages(clustered, str(tmp_path / "kept"), table="kept_messages")
+    assert sorted(kept.collect()) == sorted(clustered.collect())
+    assert sorted(spark.table("kept_messages").collect()) == sorted(clustered.collect())
+    spark.sql("DROP TABLE kept_messages")
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 30
+
+
 def test_preview_limits_before_the_shuffle(table, plan):
     text = plan(conversations.recent_message_preview(table))
     assert lines(text, "WindowGroupLimit", "Partial")

@@ -90,3 +90,33 @@ def test_contract_has_every_check():
     assert len(contract.ACCEPTED_RANGE) == 13
     assert len(contract.EXPRESSIONS) == 4
     assert len(contract.UNIQUE) + 1 == 3
+
+
+def test_checks_counted_while_written(spark, tmp_path):
+    """The same report as from the written table, which row checks never read."""
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, "z"), (None, "b")], "x int, y string").repartition(3)
+    rows = [quality.RowCheck("not_null", "y", quality.is_null("y")), quality.RowCheck("accepted_values", "y", quality.not_accepted("y", ["a", "b"]), "warn")]
+    sets = lambda t: [quality.SetCheck("unique", "x", quality.unique(t, "x"))]
+    path = str(tmp_path / "written")
+
+    def write(d):
+        d.write.parquet(path)
+        return spark.read.parquet(path).select("x")
+
+    written, report = quality.checked_while_written(df, rows, write, sets)
+    want = sorted(quality.report(df, rows, sets(df)).collect())
+    assert sorted(report.collect()) == want
+    assert spark.read.parquet(path).count() == 4
+    assert {r["subject"]: r["failures"] for r in want} == {"x": 1, "y": 1} and len(want) == 3
+
+
+def test_checks_of_an_empty_table(spark, tmp_path):
+    path = str(tmp_path / "empty")
+
+    def write(d):
+        d.write.parquet(path)
+        return spark.read.schema("x int").parquet(path)
+
+    empty = spark.createDataFrame([], "x int")
+    _, report = quality.checked_while_written(empty, [quality.RowCheck("not_null", "x", quality.is_null("x"))], write, lambda t: [])
+    assert [tuple(r) for r in report.collect()] == [("not_null", "x", "error", 0, "pass")]
