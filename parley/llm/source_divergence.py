@@ -37,7 +37,7 @@ MIN_DOCS, TOP, SMOOTH, UNIT = 30, 50, 5, 10**9
 #: Text bytes that are counted at once.
 COUNT_BYTES = 8 << 20
 #: Terms of one source in a partition for the skyband; cells of a matrix of shares; sources of a slice.
-BAND_TERMS, CELLS, SLICE = 1 << 17, 1 << 22, 256
+BAND_TERMS, CELLS, SLICE = 1 << 17, 1 << 17, 256
 #: Terms that are held against a skyband at once.
 STEP = 512
 
@@ -180,9 +180,9 @@ def source_divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP)
     """lang, source, part, item, value and rank: every other source of the language (pair), and the first ``top`` terms
     that the source has more of than its language (term)."""
     filled = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = settled(term_counts(filled))
-    terms = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).drop("docs")
-    kept = settled(counts.drop("docs").join(terms, ["lang", "term"]))
+    of_lang = Window.partitionBy("lang", "term")  # a row for each source
+    counts = term_counts(filled).withColumn("lang_n", F.sum("n").over(of_lang)).withColumn("lang_docs", F.sum("docs").over(of_lang))
+    kept = settled(counts.where(F.col("lang_docs") >= min_docs).drop("docs", "lang_docs"))
     own = kept.groupBy("lang", "source").agg(F.sum("n").alias("found"))
     langs = kept.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("v"))
     every = filled.select("lang", "source").distinct().join(own, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["found", "v"])
