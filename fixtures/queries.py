@@ -17,6 +17,8 @@ from parley.sources import schemas
 from parley.sources.tables import conform, write_table
 
 AS_OF = date(2024, 2, 2)
+# Rank error of a quantile sketch of the default size.
+SKETCH_ERROR = 0.0133
 ROW_ID = ["message_id", "chat_id", "message_sequence"]
 
 AnySources = Sources | DriverSources
@@ -234,6 +236,16 @@ def median_response(s: AnySources) -> DataFrame:
     return conversations.median_response(_messages(s))
 
 
+@query()
+def median_response_sketch(s: AnySources) -> DataFrame:
+    """Medians from merged sketches, each held against the exact ranks: twice the stated rank error is the bound."""
+    table = _messages_table(s)
+    approx = conversations.median_from_sketches(conversations.response_sketches(table))
+    exact = conversations.response_ranks(table, approx)
+    close = (F.col("rank_below") <= 0.5 + 2 * SKETCH_ERROR) & (F.col("rank_up_to") >= 0.5 - 2 * SKETCH_ERROR)
+    return exact.select(*conversations.CONVERSATION_KEYS, "responses", close.alias("rank_is_close"))
+
+
 @query()
 def conversation_ratios(s: AnySources) -> DataFrame:
     return conversations.conversation_ratios(conversations.conversation_base(_messages(s)))

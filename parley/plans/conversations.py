@@ -2,6 +2,7 @@
 
 from datetime import date
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,11 @@ RECENCY_WEIGHT = Decimal("0.4")
 RECENCY_SCORE = {label: float(RECENCY_WEIGHT * Decimal(score)) for label, score in {"very_active": "1.0", "active": "0.7"}.items()}
 RECENCY_SCORE_ELSE = float(RECENCY_WEIGHT * Decimal("0.3"))
 
+# Days, weeks or months in a mask.
+MASK_BITS = 63
+# Size of a quantile sketch; its rank error is about 1.33 % at this one.
+SKETCH_K = 200
+
 CONVERSATION_KEYS = [
     "chat_id", "chat_identifier", "partner_display_name", "contact_match_type",
     "first_name", "last_name", "phone_type", "conversation_type",
@@ -58,13 +64,13 @@ def with_conversation_type(int_messages: DataFrame, only: str | None = None) ->
     return typed if only is None else typed.filter(F.col("conversation_type") == only)
 
 
-def _by_day(typed: DataFrame) -> DataFrame:
-    """One row per conversation and day. Sums, counts and extremes only, so raw rows meet a hash aggregate with
+def _totals(typed: DataFrame) -> DataFrame:
+    """One row per conversation. Sums, counts and extremes only, so raw rows meet a hash aggregate with
     map-side combine and nothing else."""
     sent, received = F.col("is_from_me"), ~F.col("is_from_me")
     at, sequence = F.col("message_date"), F.col("message_sequence")
     length = F.col("message_length")
-    return with_length(typed).groupBy(*CONVERSATION_KEYS, F.to_date(at).alias("day")).agg(
+    return with_length(typed).groupBy(*CONVERSATION_KEYS).agg(
         F.count("*").alias("messages"),
         F.count_if(sent).alias("sent"),
         F.count_if(received).alias("received"),
@@ -102,19 +108,26 @@ def _response_times(typed: DataFrame) -> DataFrame:
     )
 
 
-def _periods() -> dict[str, Column]:
-    """Days, weeks and months with a message, from the rows by day: at most one entry per calendar day, and 64-bit
-    nanoseconds span 213,504 days."""
-    days = F.collect_set("day")
+def _period_masks(typed: DataFrame) -> DataFrame:
+    """Days, weeks and months with a message as bitmaps: (conversation, unit, block, mask).
 
-    def periods(unit: str) -> Column:
-        return F.size(F.array_distinct(F.transform(days, lambda day: F.trunc(day, unit)))).cast("bigint")
+    A mask is a long with a bit for each of MASK_BITS neighbouring days, weeks or months. Masks merge by OR, so they are
+    built in the tasks, merged by hash aggregates, and a stored table of them takes new messages without a look at the old.
+    """
+    day = F.unix_date(F.to_date("message_date"))
+    month = F.year("message_date") * 12 + F.month("message_date")
+    numbers = {"day": day, "week": F.floor((day + 3) / 7), "month": month}  # day 0 was a Thursday
+    marks = [F.struct(F.lit(unit).alias("unit"), number.cast("bigint").alias("number")) for unit, number in numbers.items()]
+    return (
+        typed.select(*CONVERSATION_KEYS, F.inline(F.array(*marks)))
+        .groupBy(*CONVERSATION_KEYS, "unit", F.floor(F.col("number") / F.lit(MASK_BITS)).alias("block"))
+        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(number, {MASK_BITS}) as int))")).alias("mask"))
+    )
 
-    return {
-        "active_days": F.count("day"),
-        "active_weeks": periods("week"),
-        "active_months": periods("month"),
-    }
+
+def _periods() -> dict[str, Column]:
+    """Active days, weeks and months, from masks."""
+    return {f"active_{unit}s": F.sum(F.when(F.col("unit") == unit, F.bit_count("mask"))).cast("bigint") for unit in ("day", "week", "month")}
 
 
 def _median() -> Column:
@@ -123,9 +136,8 @@ def _median() -> Column:
 
 
 def active_periods(int_messages: DataFrame) -> DataFrame:
-    by_day = with_conversation_type(int_messages).groupBy(*CONVERSATION_KEYS, F.to_date("message_date").alias("day"))
-    periods = [count.alias(name) for name, count in _periods().items()]
-    return by_day.agg(F.count("*").alias("messages")).groupBy(*CONVERSATION_KEYS).agg(*periods)
+    masks = _period_masks(with_conversation_type(int_messages))
+    return masks.groupBy(*CONVERSATION_KEYS).agg(*[count.alias(name) for name, count in _periods().items()])
 
 
 def median_response(int_messages: DataFrame) -> DataFrame:
@@ -134,13 +146,56 @@ def median_response(int_messages: DataFrame) -> DataFrame:
     return every.groupBy(*CONVERSATION_KEYS).agg(_median().alias("median_response_time_minutes"))
 
 
+def response_sketches(int_messages: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """A quantile sketch of the response times per conversation and day: a table that new days are added to, and that is
+    merged upwards to weeks, conversations or all, without another look at the messages."""
+    typed = with_conversation_type(int_messages).filter(F.col("response_time_minutes").isNotNull())
+    return typed.groupBy(*CONVERSATION_KEYS, F.to_date("message_date").alias("day")).agg(
+        F.kll_sketch_agg_bigint("response_time_minutes", F.lit(k)).alias("responses")
+    )
+
+
+def median_from_sketches(sketches: DataFrame) -> DataFrame:
+    """The median response time of each conversation from sketches by day, where exactness is not asked for.
+
+    A value of the data whose rank is off by 1.33 % of the responses at most, with 99 % confidence, at the default
+    SKETCH_K (the error goes with 1/k); exact as long as no more than k responses were seen. A sketch has about k
+    numbers whatever it has seen, and is combined before the shuffle.
+    """
+    merged = sketches.groupBy(*CONVERSATION_KEYS).agg(F.kll_merge_agg_bigint("responses").alias("responses"))
+    return merged.select(
+        *CONVERSATION_KEYS,
+        F.kll_sketch_get_n_bigint("responses").alias("responses"),
+        F.kll_sketch_get_quantile_bigint("responses", F.lit(0.5)).alias("approx_median_response_time_minutes"),
+    )
+
+
+def response_ranks(int_messages: DataFrame, medians: DataFrame) -> DataFrame:
+    """``medians`` with the exact shares of responses below (``rank_below``) and up to (``rank_up_to``) the sketch's median."""
+    seen = _response_times(with_conversation_type(int_messages))
+    seen = seen.toDF(*[f"seen_{c}" for c in seen.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"seen_{c}")) for c in CONVERSATION_KEYS]
+    value, times = F.col("approx_median_response_time_minutes"), F.col("seen_times")
+    return (
+        medians.join(seen, reduce(Column.__and__, same))
+        .groupBy(*medians.columns)
+        .agg(
+            (F.sum(F.when(F.col("seen_minutes") < value, times).otherwise(0)) / F.sum(times)).alias("rank_below"),
+            (F.sum(F.when(F.col("seen_minutes") <= value, times).otherwise(0)) / F.sum(times)).alias("rank_up_to"),
+        )
+    )
+
+
 def conversation_base(int_messages: DataFrame, only: str | None = None) -> DataFrame:
-    """One row per chat and contact, in two levels: by day and by response time, then by conversation.
+    """One row per chat and contact, in two levels: totals, response times and masks of periods, then by conversation.
 
-    Only the second level, over rows that the calendar bounds, holds sets and the median.
+    Raw rows meet hash aggregates with map-side combine; only the second level, over response times with their counts, holds
+    the exact median. The messages are read three times, a few columns each: pass the written table.
     """
     typed = with_conversation_type(int_messages, only)
-    parts = _by_day(typed).unionByName(_response_times(typed), allowMissingColumns=True)
+    parts = _totals(typed)
+    for more in (_response_times(typed), _period_masks(typed)):
+        parts = parts.unionByName(more, allowMissingColumns=True)
 
     def total(name: str) -> Column:
         return F.sum(name)
@@ -289,7 +344,8 @@ def mart_conversations(
     only: str | None = "individual_conversation",
     ordered: bool = False,
 ) -> DataFrame:
-    """The conversation table. ``int_messages`` is read twice: pass the written table."""
+    """The conversation table. ``int_messages`` is read column-pruned for the figures and once for the preview: pass the
+    written table."""
     chosen = with_conversation_type(int_messages, only)
     enriched = conversation_enriched(conversation_base(int_messages, only), as_of)
     mart = enriched.join(recent_message_preview(chosen), "chat_id", "left").withColumns(

@@ -4,7 +4,9 @@ from datetime import date
 
 import pytest
 
+from parley.operators import chains
 from parley.plans import conversations, messages, staging, timeseries
+from parley.sources.tables import write_clustered
 from tests.handmade import chat, int_messages, message, sources
 
 
@@ -124,16 +126,39 @@ def test_preview_limits_before_the_shuffle(table, plan):
 
 
 def test_conversations_aggregate_before_the_shuffle(table, plan):
-    """Raw rows meet hash aggregates only; sets and the median see rows by day and by response time."""
+    """Raw rows meet hash aggregates only; the median sees response times with their counts."""
     text = plan(conversations.conversation_base(table, "individual_conversation"))
-    raw = [line for line in lines(text, "HashAggregate(", "functions=[partial_") if "day" in line or "minutes" in line or "response" in line]
-    assert len([x for x in raw if "ObjectHashAggregate" not in x]) >= 2
-    assert "collect_set(day" in text and "percentile(minutes" in text
-    assert "Expand" not in text and "SortAggregate" not in text
+    raw = [line for line in lines(text, "HashAggregate(", "functions=[partial_") if "ObjectHashAggregate" not in line]
+    assert len(raw) == 3, "totals, response times and masks"
+    assert "percentile(minutes" in text
+    assert "collect_" not in text and "Expand" not in text and "SortAggregate" not in text
     for unused in ("date_read", "message_guid", "conversation_partner"):
         assert unused not in lines(text, "FileScan parquet")[0].split("ReadSchema")[1]
 
 
+def test_periods_are_hash_aggregates_of_masks(table, plan):
+    text = plan(conversations.active_periods(table))
+    assert "bit_or" in text and len(lines(text, "HashAggregate(")) == 4
+    assert not any(x in text for x in ("ObjectHashAggregate", "SortAggregate", "collect_"))
+
+
+def test_only_open_links_move_in_a_round(spark, tmp_path, plan):
+    """Links of earlier rounds are met where they lie: what moves is requests, summed up before, and open links."""
+
+    def table(name):
+        links = spark.createDataFrame([(i, i - 1, 1) for i in range(1, 20)], "node bigint, ancestor bigint, depth bigint")
+        return write_clustered(links, str(tmp_path / name), ["node"])
+
+    open_links, first, second = table("open"), table("first"), table("second")
+    text = plan(chains.next_step(open_links, [first, second]))
+    moved = [x for x in lines(text, "Exchange hashpartitioning") if "Reused" not in x]
+    assert len(moved) == 2
+    assert len(lines(text, "ReusedExchange")) == 2
+    for known in (first, second):
+        name = known._jdf.queryExecution().analyzed().toString().split("clustered_")[1][:32]
+        assert all("Bucketed: true" in x for x in lines(text, "FileScan", name)) and lines(text, "FileScan", name)
+
+
 def test_no_python_and_no_pair_joins_in_any_plan(table, plan):
     for df in (
         conversations.mart_conversations(table, date(2024, 2, 2)),
