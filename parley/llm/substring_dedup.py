@@ -24,22 +24,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.chunks import KEY_SCHEMA, answered, answers_of, chunked, key_rows, parts_for, rows_of, settled, totals, unpack_batch
-from parley.llm.text import Words, covered, gram_places, grams, tidied, words_of
+from parley.llm.text import Words, covered, give_back, gram_places, grams, tidied, words_of
 
 WINDOW = 35
 ANCHOR = 12
+#: Documents that leave a task at once.
+EMIT_ROWS = 500
 
 
 def least_places(values: np.ndarray, span: int) -> np.ndarray:
     """For each place with span values from it on: where the least of them is, the leftmost one of equals."""
     size = len(values) - span + 1
     if size <= 0:
-        return np.zeros(0, dtype=np.int64)
-    at, have = np.arange(len(values)), 1
+        return np.zeros(0, dtype=np.int32)
+    at, have = np.arange(len(values), dtype=np.int32), 1
     while have < span:
         step = min(have, span - have)
         right, left = at[step:], at[: len(at) - step]
@@ -53,11 +56,16 @@ class Seeds:
 
     def __init__(self, words: Words, window: int = WINDOW, anchor: int = ANCHOR):
         hashes = words.hashes()
-        self.places = gram_places(words.first, window)
+        self.places = gram_places(words.first, window).astype(np.int32)  # a chunk has fewer words than that
         self.windows = grams(hashes, window)[self.places] if len(self.places) else np.zeros(0, dtype=np.uint64)
         anchors = grams(hashes, anchor)
-        self.chosen = least_places(anchors, window - anchor + 1)[self.places] if len(self.places) else self.places
-        occurs, self.which = np.unique(self.chosen, return_inverse=True)  # places of anchors; the one of each window
+        del hashes
+        chosen = least_places(anchors, window - anchor + 1)[self.places] if len(self.places) else self.places
+        is_chosen = np.zeros(len(anchors) + 1, dtype=bool)
+        is_chosen[chosen] = True
+        occurs = np.flatnonzero(is_chosen)  # places of anchors
+        rank = np.cumsum(is_chosen, dtype=np.int32)
+        self.which = rank[chosen] - 1  # for each window, which of them
         self.keys, self.key_of, self.counts = np.unique(anchors[occurs], return_inverse=True, return_counts=True)
 
     def extended(self, repeated: np.ndarray) -> np.ndarray:
@@ -78,13 +86,18 @@ def repeats(chunks: DataFrame, total_bytes: int, text: str, window: int = WINDOW
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             own = Seeds(words_of(unpack_batch(row["payload"]).column(text)), window)
-            if len(own.keys):
-                yield key_rows(row["chunk_id"], own.keys, own.counts, bits)
+            keys, counts = own.keys, own.counts
+            del own
+            give_back()
+            if len(keys):
+                yield key_rows(row["chunk_id"], keys, counts, bits)
 
     def extensions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
             own = Seeds(words_of(unpack_batch(row["payload"]).column(text)), window)
             keys, counts = np.unique(own.windows[own.extended(answers_of(row["answers"]))], return_counts=True)
+            del own
+            give_back()
             if len(keys):
                 yield key_rows(row["chunk_id"], keys, counts, bits)
 
@@ -110,26 +123,42 @@ def substring_dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, w
     chunks, total = chunked(docs if with_columns else docs.select("doc_id", text), text)
     both = repeats(chunks, total, text, window).select("chunk_id", "payload", "answers", "window_answers")
 
+    def kept_words(words: Words, gone: np.ndarray, d: int) -> bytes:
+        a, b = words.first[d], words.first[d + 1]
+        here = np.flatnonzero(~gone[a:b]) + a
+        raw = memoryview(words.data)
+        return b" ".join([raw[x:y] for x, y in zip(words.starts[here].tolist(), words.ends[here].tolist(), strict=True)])
+
+    def judged(row: dict) -> Iterator[tuple[pa.Table, Words, np.ndarray, np.ndarray]]:
+        """Runs of a chunk's documents with their words: which go, and how many of each document."""
+        table = unpack_batch(row["payload"])
+        gone = maximal(words_of(table.column(text)), row, window)
+        give_back()
+        at = 0
+        for part in table.to_batches(max_chunksize=EMIT_ROWS):
+            words = words_of(part.column(text))
+            own = gone[at : at + len(words.starts)]
+            at += len(own)
+            yield pa.Table.from_batches([part]), words, own, np.diff(np.concatenate([[0], np.cumsum(own)])[words.first])
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents as they came; a text is made anew only where words go."""
+        for row in rows_of(batches):
+            for table, words, gone, removed in judged(row):
+                hit = np.flatnonzero(removed)
+                texts = pa.array([kept_words(words, gone, d).decode("utf-8", "replace") for d in hit], pa.string())
+                column = pc.replace_with_mask(table.column(text).combine_chunks(), pa.array(removed > 0), texts)
+                yield from table.set_column(table.schema.get_field_index(text), text, column).to_batches()
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in rows_of(batches):
-            table = unpack_batch(row["payload"])
-            words = words_of(table.column(text))
-            gone = maximal(words, row, window)
-            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.first])
-            raw, texts = words.data.tobytes(), []
-            spans, kept = [], []
-            was = table.column(text).to_pylist() if with_columns else [None] * table.num_rows
-            for d, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
-                here = np.flatnonzero(~gone[a:b]) + a if removed[d] else np.arange(a, b)
-                joined = b" ".join([raw[x:y] for x, y in zip(words.starts[here].tolist(), words.ends[here].tolist(), strict=True)])
-                kept.append(joined)
-                texts.append(joined.decode("utf-8", "replace") if removed[d] else was[d])
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8))) if removed[d] else []
-                spans.append([{"first": int(x), "words": int(y - x)} for x, y in zip(edge[::2], edge[1::2], strict=True)])
-            if with_columns:
-                table = table.set_column(table.schema.get_field_index(text), text, pa.array(texts, pa.string()))
-            else:
-                table = pa.table(
+            for table, words, gone, removed in judged(row):
+                kept, spans = [], []
+                for d, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)):
+                    kept.append(kept_words(words, gone, d))
+                    edge = np.flatnonzero(np.diff(np.concatenate([[False], gone[a:b], [False]]).astype(np.int8))) if removed[d] else []
+                    spans.append([{"first": int(x), "words": int(y - x)} for x, y in zip(edge[::2], edge[1::2], strict=True)])
+                out = pa.table(
                     {
                         "doc_id": table.column("doc_id"),
                         "n_words": pa.array(words.counts, pa.int64()),
@@ -139,12 +168,12 @@ def substring_dedup(docs: DataFrame, text: str = "text", window: int = WINDOW, w
                         "spans": pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("words", pa.int64())]))),
                     }
                 )
-            yield from table.to_batches(max_chunksize=2000)
+                yield from out.to_batches()
 
     if with_columns:
         return both.mapInArrow(tidied(cut), docs.withColumn(text, F.col(text).cast("string")).schema)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return both.mapInArrow(tidied(cut), f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: long, words: long>>")
+    return both.mapInArrow(tidied(digests), f"doc_id {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string, spans array<struct<first: long, words: long>>")
 
 
 def oracle_sql(window: int = WINDOW) -> str:
