@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry_point
@@ -182,6 +183,61 @@ def test_toxic_words_are_found(spark):
     assert got[9000]["score"] == got[9001]["score"] < 0.7
 
 
+def test_updates_as_plain_ftrl(monkeypatch):
+    """Batches of one row are the textbook's per-coordinate updates."""
+    monkeypatch.setattr(toxicity, "BATCH_TEXTS", 1)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    labels = np.array([int("aa" in t.split()) for t in texts])
+    z, n = toxicity.learn(pa.array(texts), labels, 0.7)
+    want_z, want_n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(i):
+        return 0.0 if abs(want_z[i]) <= 0.7 else -(want_z[i] - math.copysign(0.7, want_z[i])) / ((toxicity.BETA + math.sqrt(want_n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.EPOCHS):
+        for text, label in zip(texts, labels, strict=True):
+            own = sorted({int(x) for x in toxicity.features(pa.array([text]))[0]} | {toxicity.BIAS})
+            w = {i: weight(i) for i in own}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - label
+            for i in own:
+                want_z[i] += g - (math.sqrt(want_n[i] + g * g) - math.sqrt(want_n[i])) / toxicity.ALPHA * w[i]
+                want_n[i] += g * g
+    at = sorted(want_n)
+    assert np.allclose(z[at], [want_z[i] for i in at]) and np.allclose(n[at], [want_n[i] for i in at])
+    assert z.any() and not np.delete(n, at).any()
+
+
+def test_calibration():
+    rng = np.random.default_rng(1)
+    margins = rng.normal(0, 2, 4000)
+    labels = (rng.random(4000) < toxicity.sigmoid(1.7 * margins - 0.8)).astype(int)
+    slope, offset = toxicity.calibration(margins, labels)
+    assert abs(slope - 1.7) < 0.15 and abs(offset + 0.8) < 0.15
+    assert toxicity.calibration(np.zeros(0), np.zeros(0)) == (1.0, 0.0)
+    assert np.isfinite(toxicity.calibration(np.array([1.0]), np.array([1]))).all()
+
+
+def test_toxicity_on_the_given_labels(spark):
+    """Held-out rows; about half of the label's positives hold none of the words that the others share."""
+    sf = "/root/testdata/sf0.01"
+    label = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [r for r in toxicity.toxicity(queries.table(spark, sf, "documents"), queries.table(spark, sf, "labels")).collect() if r["held_out"] and r["doc_id"] in label]
+    assert np.mean([r["predicted"] for r in got if label[r["doc_id"]] == 1]) >= 0.45
+    assert np.mean([r["predicted"] for r in got if label[r["doc_id"]] == 0]) < 0.02
+
+
+def test_repeated_and_long_texts(spark):
+    """Copies are scored alike, a text of a million words too, labels of repeated ids count once."""
+    rows, labels = graded(300, lambda rng: rng.choice(["Nasty,", "vile", "(awful)"]))
+    docs = [*rows, *rows[:50], (8000, "calm word " * 500_000), (8001, "vile awful nasty " + "calm " * 300_000)]
+    got = collections.defaultdict(set)
+    for r in toxicity.toxicity(brute.frame(spark, docs), labels_for(spark, [*labels, *labels[:20], (8000, None)], "toxic")).collect():
+        got[r["doc_id"]].add(r["score"])
+    assert all(len(scores) == 1 for scores in got.values()) and len(got) == len(rows) + 2
+    assert max(got[8000]) < min(got[8001])
+
+
 def test_quality_is_learnt(spark):
     rng = random.Random(2)
     rows, labels = [], []
