@@ -5,7 +5,8 @@ placeholders, the rest is lower-cased and loses its punctuation. Windows of WIND
 hash-joined with every window of the documents, which meets every common run of WINDOW words wherever it stands. Each
 match fixes how an item would lie in a document; along it all words are compared, and the values behind equal placeholders
 must correspond: one value of the item, one value of the document. So a question whose numbers or names were exchanged
-throughout is found, and chance likeness of templates is not.
+throughout is found, and chance likeness of templates is not. An item that stands there almost word for word (VERBATIM) is found
+too where one of its numbers was changed at one of its places.
 
 Windows with fewer than TELLING words that are not placeholders are no evidence. Items without a window that is, from their
 second word on (the first may be read as a name within a document), are short or mostly placeholders. They are joined
@@ -15,8 +16,8 @@ template. All their words must agree. Each distinct length of such items costs o
 Documents are read twice; the second time only those with a match are made into templates.
 
 Defined results: null and empty texts match nothing; rows with equal ids and texts give one result; a null id is a document
-like any other; an empty benchmark finds nothing. The SQL looks up every STRIDE-th window only and joins no whole items:
-what it finds, matches() finds too.
+like any other; an empty benchmark finds nothing. The SQL looks up every window too, but joins no whole items: what it
+finds, matches() finds too.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from parley.llm.chunks import settled
 
 WINDOW, TELLING = 8, 5
-#: Of the SQL only.
-STRIDE = 4
 #: Words along the item that must agree: half of it, RUN at most, WINDOW at least.
 RUN = 13
+#: Percent of an item's words, RUN words at least, whose literal agreement makes a leak whatever the slots hold.
+VERBATIM = 80
 #: Benchmark windows up to which they are broadcast, 24 bytes each.
 BROADCAST_WINDOWS = 500_000
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
@@ -47,14 +48,15 @@ def marked(text: Column) -> Column:
     """The text in lower case without punctuation, each value behind the mark of its type."""
     for _ in range(2):  # the second time for names that follow a name
         text = F.regexp_replace(text, r"([\p{Ll}\p{Nd},;:)] )(\p{Lu}\p{L}+)", "$1" + NAME + "$2")
-    text = F.regexp_replace(text, r"([0-9]+([.,:/][0-9]+)*)", NUMBER + "$1")
+    # A number starts at a digit that continues none; it is not matched as a whole, for it may have any length.
+    text = F.regexp_replace(text, r"(?<![0-9])(?<![0-9][.,:/])([0-9])", NUMBER + "$1")
     text = F.lower(F.regexp_replace(text, r"[^\p{L}\p{Nd}\x01-\x03 \t\n\x0B\f\r]+", ""))
-    return F.regexp_replace(text, r"(\x02[^ \t\n\x0B\f\r]* )(" + UNITS + r")([ \t\n\x0B\f\r]|$)", "$1" + UNIT + "$2$3")
+    return F.regexp_replace(text, r"(\x02[^ \x02\t\n\x0B\f\r]* )(" + UNITS + r")([ \t\n\x0B\f\r]|$)", "$1" + UNIT + "$2$3")
 
 
 def template(text: Column) -> Column:
-    """A marked text without the values."""
-    return F.regexp_replace(text, r"[^ \t\n\x0B\f\r]*([\x01-\x03])[^ \t\n\x0B\f\r]*", "$1")
+    """A marked text without the values. Words are tried from their first character only, so long ones take no longer."""
+    return F.regexp_replace(text, r"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r]*([\x01-\x03])[^ \t\n\x0B\f\r]*", "$1")
 
 
 def word_list(text: Column) -> Column:
@@ -135,7 +137,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     slotted = pairs.withColumn("slots", slots_of(F.col("agreed"), lambda v: v)).withColumn("whole_slots", slots_of(F.col("pairs"), plain))
     enough = F.greatest(F.lit(WINDOW), F.least(F.lit(RUN), F.ceil(F.col("n_item") / 2)))
-    by_window = F.col("by_window") & consistent("slots") & (F.size("agreed") >= enough)
+    verbatim = F.size(F.filter("agreed", lambda p: p["item_value"] == p["doc_value"]))
+    literal = verbatim >= F.greatest(F.lit(RUN), F.ceil(F.col("n_item") * VERBATIM / 100))
+    by_window = F.col("by_window") & (F.size("agreed") >= enough) & (consistent("slots") | literal)
     all_agree = F.forall("pairs", lambda p: (p["item"] == p["doc"]) | (plain(p["item_value"]) == plain(p["doc_value"])))
     as_whole = F.col("whole") & (F.col("at") >= 0) & (F.size("pairs") == F.col("n_item")) & all_agree & consistent("whole_slots")
     judged = slotted.withColumn("by_window", by_window).where(F.col("by_window") | as_whole)
@@ -178,7 +182,7 @@ doc AS MATERIALIZED ({texts("documents", "doc_id")}),
 item_window AS (SELECT item_id, i AS item_at, words[i + 1:i + {WINDOW}] AS win FROM (SELECT *, unnest(range(0, len(words) - {WINDOW} + 1)) AS i FROM item)),
 telling AS (SELECT *, array_to_string(win, ' ') AS key FROM item_window WHERE len(list_filter(win, lambda w: w NOT IN {slot})) >= {TELLING}),
 doc_window AS (SELECT doc_id, text, i AS doc_at, array_to_string(words[i + 1:i + {WINDOW}], ' ') AS key
-  FROM (SELECT *, unnest(range(0, len(words) - {WINDOW} + 1, {STRIDE})) AS i FROM doc)),
+  FROM (SELECT *, unnest(range(0, len(words) - {WINDOW} + 1)) AS i FROM doc)),
 lies AS (SELECT DISTINCT doc_id, text, item_id, doc_at - item_at AS shift FROM doc_window JOIN telling USING (key)),
 laid AS (SELECT l.doc_id, l.item_id, len(i.words) AS n_item, list_filter(list_transform(range(0, len(i.words)),
     lambda j: CASE WHEN l.shift + j >= 0 AND l.shift + j < len(d.words) AND d.words[l.shift + j + 1] = i.words[j + 1]
@@ -188,7 +192,8 @@ slotted AS (SELECT *, list_distinct(list_transform(list_filter(agreed, lambda p:
     lambda p: {{'item_value': p.item_value, 'doc_value': p.doc_value}})) AS slots FROM laid),
 counted AS (SELECT doc_id, item_id, n_item, len(agreed) AS n_matched, len(slots) AS n_slots,
     len(list_filter(slots, lambda s: s.item_value <> s.doc_value)) AS n_changed FROM slotted
-  WHERE len(list_distinct(list_transform(slots, lambda s: s.item_value))) = len(slots)
+  WHERE (len(list_distinct(list_transform(slots, lambda s: s.item_value))) = len(slots)
+      OR len(list_filter(agreed, lambda p: p.item_value = p.doc_value)) >= greatest({RUN}, ceil(n_item * {VERBATIM} / 100)))
     AND len(agreed) >= greatest({WINDOW}, least({RUN}, ceil(n_item / 2))))
 SELECT doc_id, item_id, CAST(n_matched AS integer) AS n_matched, CAST(n_item AS integer) AS n_item, CAST(n_slots AS integer) AS n_slots, CAST(n_changed AS integer) AS n_changed
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, n_changed, n_item DESC, n_slots DESC) AS place FROM counted) WHERE place = 1"""

@@ -1,7 +1,10 @@
 """Licence scan, decontamination and URL filters."""
 
+import time
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from parley.llm import decontamination, license_scan, queries, url_filters
 from tests.llm import brute
@@ -13,7 +16,7 @@ RULES = "rule_host string, rule_path string, rule_verdict string"
 @pytest.mark.parametrize("name", list(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "labels"):
+    for table in ("documents", "pages", "benchmark", "labels", "embeddings"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     got = queries.QUERIES[name](spark, SF_DIR)
     columns = sorted(got.columns)
@@ -194,11 +197,30 @@ def test_leaks(spark):
 def test_slots_must_correspond(spark):
     item = "then Anna gave 5 books to Boris and 5 pens to Clara while Anna kept 9 coins in the small green box"
     same = item.replace("5", "8")
-    mixed = item.replace("5 books", "8 books").replace("5 pens", "3 pens")
+    mixed = item.replace("5 books", "8 books").replace("5 pens", "3 pens").replace("9 coins", "2 coins").replace("Boris", "Dora").replace("Anna kept", "Eva kept")
     got = leaks(spark, [same, mixed], [(1, item)])
     assert set(got) == {(0, 1)}
 
 
+def test_changed_numbers_in_a_literal_copy_are_found(spark):
+    """One of two equal numbers changed, and numbers that are equal by chance changed to different ones."""
+    boxes = "then take 2 of the 2 boxes that were left in the hall and put all of them beside the old wooden door"
+    books = "then Anna gave 5 books to Boris and 5 pens to Clara while Anna kept 9 coins in the small green box"
+    texts = ["so " + boxes.replace("2 boxes", "3 boxes"), books.replace("5 books", "8 books").replace("5 pens", "3 pens"), boxes.replace("2 boxes", "3 boxes").replace("hall", "barn")]
+    assert set(leaks(spark, texts, [(1, boxes), (2, books)])) == {(0, 1), (1, 2), (2, 1)}
+    # Half of the words with numbers that do not correspond is chance likeness.
+    assert not leaks(spark, [" ".join(boxes.replace("2 boxes", "3 boxes").split()[:12])], [(1, boxes)])
+
+
+@pytest.mark.parametrize("text,words", [("中文字符" * 250_000, 1), (",".join(map(str, range(150_000))), 1), ("a1B2/+" * 160_000, 1), ("1" * 1_000_000, 1), ("Aa " * 300_000, 300_000)])
+def test_long_words_take_no_longer(spark, text, words):
+    """A million characters, with and without blanks, numbers and names, in seconds and without deep recursion."""
+    began = time.monotonic()
+    df = spark.createDataFrame([(text,)], "text string").select(decontamination.template(decontamination.marked(F.col("text"))).alias("t"))
+    assert df.select(F.size(decontamination.word_list(F.col("t")))).first()[0] == words
+    assert time.monotonic() - began < 60
+
+
 RIVER = "Which river flows through the capital city of France"
 
 
