@@ -12,7 +12,7 @@ from fixtures.views import DriverSources, Sources
 from parley.functions import decoders, moments, phones, texts
 from parley.operators import quality
 from parley.plans import contacts, contract, conversations, messages, staging, threads, timeseries
-from parley.session import cut_lineage, shared_folder
+from parley.session import cut_lineage, new_table_path, shared_folder
 from parley.sources import schemas
 from parley.sources.tables import conform, write_table
 
@@ -61,6 +61,14 @@ def _messages_table(s: AnySources) -> DataFrame:
     return messages.written_messages(_messages(s))
 
 
+def _messages_by_column(s: AnySources) -> DataFrame:
+    """The message table, written as it comes, for models that read few of its columns and join nothing to its texts."""
+    wide = messages.with_length(_messages(s))
+    path = new_table_path(wide.sparkSession)
+    write_table(wide, path)
+    return wide.sparkSession.read.schema(wide.schema).parquet(path)
+
+
 # Sources, staging, sinks
 
 
@@ -239,7 +247,7 @@ def median_response(s: AnySources) -> DataFrame:
 @query()
 def median_response_sketch(s: AnySources) -> DataFrame:
     """Medians from merged sketches, each held against the exact ranks: twice the stated rank error is the bound."""
-    table = _messages_table(s)
+    table = _messages_by_column(s)
     approx = conversations.median_from_sketches(conversations.response_sketches(table))
     exact = conversations.response_ranks(table, approx)
     close = (F.col("rank_below") <= 0.5 + 2 * SKETCH_ERROR) & (F.col("rank_up_to") >= 0.5 - 2 * SKETCH_ERROR)
@@ -284,7 +292,7 @@ def importance_score(s: AnySources) -> DataFrame:
 
 @query()
 def mart_conversations(s: AnySources) -> DataFrame:
-    return conversations.mart_conversations(_messages_table(s), AS_OF, ordered=True)
+    return conversations.mart_conversations(_messages_by_column(s), AS_OF, ordered=True)
 
 
 @query()
@@ -418,7 +426,7 @@ def dq_accepted_range(s: AnySources) -> DataFrame:
 
 @query()
 def dq_sequential_values(s: AnySources) -> DataFrame:
-    return quality.sequential_values(_messages_table(s), "message_id", ["chat_id"])
+    return quality.sequential_values(_messages_by_column(s), "message_id", ["chat_id"])
 
 
 @query()

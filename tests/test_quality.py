@@ -110,13 +110,14 @@ def test_checks_counted_while_written(spark, tmp_path):
     assert {r["subject"]: r["failures"] for r in want} == {"x": 1, "y": 1} and len(want) == 3
 
 
-def test_checks_of_an_empty_table(spark, tmp_path):
+@pytest.mark.parametrize("how", ["known to be empty", "found empty"])
+def test_checks_of_an_empty_table(spark, tmp_path, how):
     path = str(tmp_path / "empty")
 
     def write(d):
         d.write.parquet(path)
         return spark.read.schema("x int").parquet(path)
 
-    empty = spark.createDataFrame([], "x int")
+    empty = spark.createDataFrame([], "x int") if how == "found empty" else spark.range(3).selectExpr("cast(id as int) as x").filter("false")
     _, report = quality.checked_while_written(empty, [quality.RowCheck("not_null", "x", quality.is_null("x"))], write, lambda t: [])
     assert [tuple(r) for r in report.collect()] == [("not_null", "x", "error", 0, "pass")]
