@@ -1,8 +1,9 @@
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from parley.plans import staging
-from parley.session import cut_lineage, shared_folder
+from parley.session import cut_lineage, drop_tables, new_table_path, shared_folder
 from parley.sources import schemas, tables
 
 
@@ -88,3 +89,16 @@ def test_text_backfill_uses_a_given_decoder(spark):
     assert {r.rowid: r.text for r in got.collect()} == {1: "text", 2: "BODY", 3: None, 4: ""}
     default = {r.rowid: r.text for r in staging.text_backfill(message).collect()}
     assert default == {1: "text", 2: "body", 3: None, 4: ""}
+
+
+def test_tables_of_the_application_are_dropped(spark, tmp_path):
+    """Only what was written through ``new_table_path``; checkpoints and other tables stay."""
+    path, other = new_table_path(spark), str(tmp_path / "other")
+    spark.range(3).write.parquet(path)
+    spark.range(3).write.parquet(other)
+    settled = cut_lineage(spark.range(5))
+    drop_tables(spark)
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+    assert spark.read.parquet(other).count() == 3 and settled.count() == 5
+    drop_tables(spark)
