@@ -13,7 +13,7 @@ from parley.functions.moments import (
 from parley.functions.rules import at_least, holds, up_to
 from parley.functions.texts import concat_nulls_empty, ellipsize
 from parley.operators.segments import ROWS_PER_SEGMENT, with_halo
-from parley.plans.messages import POSITION, with_length
+from parley.plans.messages import POSITION, resolved, with_length
 
 # Thresholds and labels of the classes.
 SESSION_GAP_MINUTES = 30
@@ -249,13 +249,16 @@ def mart_message_timeseries(
     gap_minutes: int = SESSION_GAP_MINUTES,
     rows_per_segment: int = ROWS_PER_SEGMENT,
     ordered: bool = False,
+    content: DataFrame | None = None,
 ) -> DataFrame:
     """The message time series, of all contacts or of one first name.
 
     ``int_messages`` is read once for the rows and, column-pruned, for the windows and the large chats: pass the written
-    table.
+    table. ``content`` has the texts of messages that are ``referred``; they meet the finished figures.
     """
     metrics = windowed_metrics(int_messages, first_name, rows_per_segment)
+    if content is not None:
+        metrics = resolved(metrics, content, "message_text", [*metrics.columns, "message_text"])
     mart = (
         timeseries_enriched(metrics, gap_minutes)
         .withColumns(
