@@ -99,7 +99,7 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def sketched(chunks: DataFrame, text: str, size: int, kind: str) -> DataFrame:
-    """(node, doc_id, n, one, two, sketch, buckets) of every row: its number, id, size, fingerprint, sketch (two bytes a bin)
+    """(node, doc_id, n, one, two, sketch, buckets) of every row: its number, id, size, fingerprint, sketch (a byte a bin)
     and keys."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +110,7 @@ def sketched(chunks: DataFrame, text: str, size: int, kind: str) -> DataFrame:
                     found, first = shingle_sets(batch.column(text), size)
                     drawn = sketches(found, first)
                     keys = buckets_of(drawn).view(np.int64)
-                    short = np.ascontiguousarray((drawn >> np.uint64(48)).astype(np.uint16))
+                    short = drawn.astype(np.uint8)  # the low bits: the high ones of a least value are mostly zero
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(node + np.arange(batch.num_rows)),
@@ -137,7 +137,7 @@ def agreed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def sketch_rows(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, COORDINATES)
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, COORDINATES)
 
 
 def full_sets(chunks: DataFrame, nodes: DataFrame, text: str, size: int) -> DataFrame:
@@ -221,7 +221,8 @@ def further_links(members: DataFrame, marks: DataFrame, labels: DataFrame, chunk
     placed = members.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Rank: the size of the component, then its name; of two sets the one of lower rank asks the other.
     sizes = placed.select("node", "component").distinct().groupBy("component").agg(F.count("*").alias("members"))
-    ranked = settled(placed.join(sizes, "component").withColumn("rank", F.struct("members", "component")).select("key", "node", "rank"))
+    ranked = settled(placed.join(sizes, "component").select("key", "node", "members", "component"))
+    ranked = ranked.select("key", "node", F.struct("members", "component").alias("rank"))
     mixed = ranked.groupBy("key").agg(F.min("rank").alias("least"), F.max("rank").alias("most"), F.bit_xor(F.xxhash64("node")).alias("same"), F.count("*").alias("rows")).where("least < most")
     # Of buckets with the same members one is opened.
     mixed = mixed.groupBy("same", "rows").agg(F.min(F.struct("key", "least", "most")).alias("one")).select("one.*")
