@@ -1,7 +1,7 @@
 """Quality rules with an isolation forest over their statistics.
 
-One pass computes rule statistics of each whole text. A forest of random splits is grown on a bounded sample of
-labelled rows; the average path of a document's statistics through it tells how soon random splits set it
+One pass computes rule statistics of each whole text. Limits, units and threshold come from all labelled rows; a forest of
+random splits is grown on rows drawn from them, a few for each tree; the average path of a document's statistics through it tells how soon random splits set it
 apart. The threshold on that score is calibrated on labelled rows.
 
 Trees are grown on accepted rows with a few rejected ones among them (``CONTAMINATION``): a statistic that is the
@@ -21,12 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.chunks import settled
 from parley.llm.text import covered, gram_places, grams, mix, slices, tidied, words_of
 
-#: Labelled rows, lowest hashes first, on which forest and threshold are fitted.
-SAMPLE_ROWS = 20_000
 TREES, TREE_ROWS, CONTAMINATION, SEED = 100, 256, 0.02, 7
+BAD_ROWS = max(1, round(TREE_ROWS * CONTAMINATION))
 ROUTINE = 0.999
+#: Of the quantile sketch; up to as many rows it is exact.
+ACCURACY = 100_000
+#: Different scores; bounds what the calibration gathers.
+GRID = 1 << 16
 #: Share of accepted calibration rows that the threshold keeps at least.
 KEEP_CLEAN = 0.998
 #: Accepted calibration rows that may be mislabelled however few there are.
@@ -138,20 +142,21 @@ def grow(rows: np.ndarray, rng: np.random.Generator) -> list[tuple[int, float, i
 
 
 class Forest:
-    """Anomaly scores in (0, 1): the shorter the average path, the higher.
+    """Anomaly scores in [0, 1], a whole number of GRIDths: the shorter the average path, the higher.
 
-    Statistics enter as their excess over what accepted rows have (the quantile ROUTINE), in units of what the
-    fitting rows reach: differences among ordinary documents do not set any of them apart.
+    Statistics enter as their excess over what accepted rows have (the quantile ROUTINE, ``limits``), in units of what the
+    fitting rows reach: differences among ordinary documents do not set any of them apart. ``good`` and ``bad`` are what the
+    trees draw their rows from.
     """
 
-    def __init__(self, good: np.ndarray, bad: np.ndarray):
-        self.limits = np.quantile(good, ROUTINE, axis=0)
-        reach = np.concatenate([good, bad]).max(axis=0) - self.limits
+    def __init__(self, good: np.ndarray, bad: np.ndarray, limits: np.ndarray, highest: np.ndarray):
+        self.limits = limits
+        reach = highest - limits
         self.units = np.where(reach > 0, reach, 1.0)
         good, bad = self.excess(good), self.excess(bad)
         rng = np.random.default_rng(SEED)
         self.trees = []
-        n_bad = max(1, round(TREE_ROWS * CONTAMINATION)) if len(bad) else 0
+        n_bad = BAD_ROWS if len(bad) else 0
         for _ in range(TREES):
             rows = good[rng.choice(len(good), min(len(good), TREE_ROWS - n_bad), replace=False)]
             if n_bad:
@@ -178,72 +183,113 @@ class Forest:
                 step = np.where(features[rows, np.maximum(f, 0)] < cut[at], left[at], right[at])
                 at = np.where(going, step, at)
             total += path[at]
-        return 2.0 ** (-total / len(self.trees) / max(self.usual, 1e-9))
-
-    def calibrate(self, good: np.ndarray, bad: np.ndarray) -> None:
-        """The threshold that best separates labelled rows, among those that keep KEEP_CLEAN of the accepted ones, or all but STRAY_ROWS."""
-        a, b = self.scores(good), self.scores(bad)
-        allowed = max(STRAY_ROWS, int((1 - KEEP_CLEAN) * len(a)))
-        least = np.sort(a)[max(0, len(a) - allowed - 1)]
-        cuts = np.unique(np.concatenate([[least], b[b > least], a[a > least]]))
-        gain = [(b > c).mean() - (a > c).mean() for c in cuts]
-        best = np.flatnonzero(np.array(gain) >= max(gain) - 1e-12)
-        self.threshold = float(cuts[best[-1]])
-
-
-def fit(docs: DataFrame, labels: DataFrame) -> Forest | None:
-    """Forest and threshold from the labelled rows with the lowest hashes, SAMPLE_ROWS at most."""
-    chosen = (
-        labels.where("doc_id is not null and quality is not null")
-        .groupBy(F.col("doc_id").alias("label_id"))
-        .agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("label_id"), "label_id")
-        .limit(SAMPLE_ROWS)
-    )
-    # SAMPLE_ROWS ids at most: a broadcast of a few hundred kB.
-    rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("quality", "text")
+        return np.floor(2.0 ** (-total / len(self.trees) / max(self.usual, 1e-9)) * GRID) / GRID
+
+    def calibrate(self, scores: np.ndarray, good: np.ndarray, bad: np.ndarray) -> None:
+        """The threshold that best separates labelled rows, among those that keep KEEP_CLEAN of the accepted ones, or all but
+        STRAY_ROWS. Given are the different scores, ascending, and how many accepted and rejected rows have each."""
+        n_good = good.sum()
+        allowed = max(STRAY_ROWS, int((1 - KEEP_CLEAN) * n_good))
+        # Rows above each score.
+        good_above, bad_above = n_good - np.cumsum(good), bad.sum() - np.cumsum(bad)
+        least = np.flatnonzero((good_above <= allowed) | (np.arange(len(scores)) == len(scores) - 1))[0]
+        gain = (bad_above / max(1, bad.sum()) - good_above / max(1, n_good))[least:]
+        best = np.flatnonzero(gain >= gain.max() - 1e-12)
+        self.threshold = float(scores[least:][best[-1]])
+
+
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id, the base statistics, base_failed and the features of every row."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1)):
             base, features = statistics(batch.column(1))
-            passed = ~base_failed(base)
-            yield pa.RecordBatch.from_pydict({"quality": batch.column(0).filter(pa.array(passed)), "features": pa.array(list(features[passed]), pa.list_(pa.float64()))})
+            every = {"doc_id": batch.column(0)} | {k: pa.array(v) for k, v in base.items()} | {"base_failed": base_failed(base)}
+            yield pa.RecordBatch.from_pydict(every | {"features": pa.array(list(features), pa.list_(pa.float64()))})
 
-    got = rows.mapInArrow(tidied(measure), f"quality {labels.schema['quality'].dataType.simpleString()}, features array<double>").limit(4 * SAMPLE_ROWS).toPandas()
-    if got.empty:
-        return None
-    features = np.array(got["features"].tolist())
-    order = np.lexsort(features.T)  # the same forest, however rows arrive
-    features, quality = features[order], got["quality"].to_numpy()[order].astype(int)
-    good, bad = features[quality == 1], features[quality == 0]
-    if not len(good) or not len(bad):
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, " + ", ".join(f"{k} long" for k in BASE) + ", base_failed boolean, features array<double>"
+    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(tidied(measure), schema)
+
+
+def fit(rows: DataFrame, labels: DataFrame) -> Forest | None:
+    """Forest and threshold from all labelled rows that pass the base rules; ``rows`` are ``measured`` ones.
+
+    One half gives the trees, the other half the threshold. Limits, reach and threshold are aggregates over all of them: limits by
+    a quantile sketch of rank error 1/ACCURACY, the threshold by counts for each score. Only what the trees draw
+    from reaches the driver, at most the rows of all trees, as an isolation tree grows on TREE_ROWS rows by its method.
+    """
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("label_id")).agg((F.min("quality") == 1).alias("good"))
+    labelled = rows.where("not base_failed").join(known, F.col("doc_id") == F.col("label_id")).select("label_id", "good", "features")
+    # Equal ids have one label and lie in either half, by what they are.
+    drawn = F.xxhash64("label_id", "features")
+    labelled = settled(labelled.withColumn("drawn", drawn).withColumn("grows", F.pmod(F.shiftright("drawn", 32), F.lit(2)) == 0))
+    counts = {(r["good"], r["grows"]): r["n"] for r in labelled.groupBy("good", "grows").agg(F.count("*").alias("n")).collect()}
+    has = {kind: counts.get((kind, True), 0) + counts.get((kind, False), 0) for kind in (True, False)}
+    if not has[True] or not has[False]:
         return None
-    # Every other row calibrates what the rest has grown.
-    forest = Forest(good[::2], bad[::2])
-    forest.calibrate(good[1::2] if len(good) > 1 else good, bad[1::2] if len(bad) > 1 else bad)
+
+    def half(kind: bool, grows: bool) -> DataFrame:
+        """Rows of a kind; a half without any is stood in for by the other."""
+        chosen = labelled.where(F.col("good") == kind)
+        return chosen.where(F.col("grows") == grows) if counts.get((kind, grows)) else chosen
+
+    good, bad = half(True, True), half(False, True)
+    places = range(len(FEATURES))
+    limits = good.agg(*[F.percentile_approx(F.col("features")[i], F.lit(ROUTINE), F.lit(ACCURACY)).alias(f"f{i}") for i in places]).first()
+    highest = good.unionByName(bad).agg(*[F.max(F.col("features")[i]).alias(f"f{i}") for i in places]).first()
+
+    def pool(kind: DataFrame, of_tree: int) -> np.ndarray:
+        found = kind.orderBy("drawn", "features").limit(TREES * of_tree).select("features").toPandas()
+        return np.array(found["features"].tolist())
+
+    forest = Forest(pool(good, TREE_ROWS), pool(bad, BAD_ROWS), np.array(limits), np.array(highest))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                features = np.array(batch.column(1).to_pylist())
+                yield pa.RecordBatch.from_pydict({"good": batch.column(0), "score": forest.scores(features)})
+
+    rest = half(True, False).unionByName(half(False, False)).select("good", "features")
+    by_score = rest.mapInArrow(tidied(score), "good boolean, score double").groupBy("score")
+    found = by_score.agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).toPandas().sort_values("score")
+    forest.calibrate(*(found[c].to_numpy() for c in ("score", "good", "bad")))
     return forest
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, with_columns: bool = False) -> DataFrame:
     """doc_id, the base statistics, base_failed, kept and anomaly of every row; with_columns: the columns of docs and kept."""
-    forest = fit(docs, labels)
-    names = docs.columns
-    text_at = names.index("text")
+    if with_columns:
+        forest = fit(measured(docs), labels)
+        at = docs.columns.index("text")
+
+        def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in (part for whole in batches for part in slices(whole, at)):
+                base, features = statistics(batch.column(at))
+                yield batch.filter(pa.array(~base_failed(base) & ~unusual(forest, features)[0]))
+
+        return docs.mapInArrow(tidied(accept), docs.schema)
+
+    rows = settled(measured(docs))  # texts are read once
+    forest = fit(rows, labels)
+    names = ["doc_id", *BASE, "base_failed"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = text_at if with_columns else 1
-        for batch in (part for whole in batches for part in slices(whole, at)):
-            base, features = statistics(batch.column(at))
-            failed = base_failed(base)
-            anomaly = forest.scores(features) if forest else np.zeros(len(features))
-            kept = ~failed & ~(anomaly > forest.threshold if forest else np.zeros(len(features), dtype=bool))
-            if with_columns:
-                yield batch.filter(pa.array(kept))
-            else:
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0)} | {k: pa.array(v) for k, v in base.items()} | {"base_failed": failed, "kept": kept, "anomaly": anomaly})
+        for batch in batches:
+            features = np.array(batch.column("features").to_pylist()).reshape(-1, len(FEATURES))
+            odd, anomaly = unusual(forest, features)
+            kept = ~batch.column("base_failed").to_numpy(zero_copy_only=False) & ~odd
+            yield pa.RecordBatch.from_pydict({k: batch.column(k) for k in names} | {"kept": kept, "anomaly": anomaly})
 
-    if with_columns:
-        return docs.mapInArrow(tidied(judge), docs.schema)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, " + ", ".join(f"{k} long" for k in BASE) + ", base_failed boolean, kept boolean, anomaly double"
-    return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(tidied(judge), schema)
+    return rows.mapInArrow(tidied(judge), schema)
+
+
+def unusual(forest: Forest | None, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows the forest sets apart, and their scores; without a forest none."""
+    if forest is None or not len(features):
+        return np.zeros(len(features), dtype=bool), np.zeros(len(features))
+    anomaly = forest.scores(features)
+    return anomaly > forest.threshold, anomaly
