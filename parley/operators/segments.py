@@ -25,16 +25,16 @@ _LAST = (1 << 63) - 1
 
 
 def sequence_rows(
-    rows: DataFrame, group: str, at: Column, tie: str, carry: Sequence[str], parts: int | None = None
+    rows: DataFrame, group: str, at: Column, tie: str, carry: Sequence[str], parts: int | None = None, along: Sequence[str] = ()
 ) -> DataFrame:
-    """(group, tie, *carry) of each row with its ``position`` 1..n in its group, by (at, tie), and ``prev_*`` and
+    """(group, tie, *carry, *along) of each row with its ``position`` 1..n in its group, by (at, tie), and ``prev_*`` and
     ``next_*`` of carry.
 
     A null time sorts last; tie must be unique within the group. Rows should be narrow: the wide ones join
     the result by tie. ``parts`` is the number of parts, by default Spark's own choice. The parts are
     written once, because the sample that places the cuts may come out differently when it is taken again.
     """
-    keys = rows.select(group, F.coalesce(at, F.lit(_LAST)).alias("_at"), tie, *carry)
+    keys = rows.select(group, F.coalesce(at, F.lit(_LAST)).alias("_at"), tie, *carry, *along)
     order = (group, "_at", tie)
     dealt = keys.repartitionByRange(parts, *order) if parts else keys.repartitionByRange(*order)
     dealt = cut_lineage(dealt.withColumn("_part", F.spark_partition_id()))
@@ -45,8 +45,8 @@ def sequence_rows(
     sizes = dealt.groupBy(group, "_part").agg(
         F.count("*").alias("_rows"), F.min(row).alias("_first"), F.max(row).alias("_last")
     )
-    along = Window.partitionBy(group).orderBy("_part")
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    parts_of = Window.partitionBy(group).orderBy("_part")
+    before = parts_of.rowsBetween(Window.unboundedPreceding, -1)
     # Groups within one part need nothing from elsewhere; the others have a row for each part they touch.
     edges = (
         sizes.select(
@@ -54,8 +54,8 @@ def sequence_rows(
             "_part",
             "_rows",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-            F.lag("_last").over(along).alias("_row_before"),
-            F.lead("_first").over(along).alias("_row_after"),
+            F.lag("_last").over(parts_of).alias("_row_before"),
+            F.lead("_first").over(parts_of).alias("_row_after"),
         )
         .filter(F.col("_row_before").isNotNull() | F.col("_row_after").isNotNull())
     )
@@ -78,7 +78,7 @@ def sequence_rows(
     return (
         numbered.join(edges, [group, "_part"], "left")
         .withColumns(stitched)
-        .select(group, tie, *[c for c in carry if c != tie], "position", *[f"{side}_{c}" for side in ("prev", "next") for c in carry])
+        .select(group, tie, *[c for c in carry if c != tie], *along, "position", *[f"{side}_{c}" for side in ("prev", "next") for c in carry])
     )
 
 
