@@ -1,9 +1,30 @@
 """Where lineage is cut: the folder that all executors share."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files, as its readers go to the written files.
+
+    Otherwise they stay until the driver happens to collect its garbage. The setting of the session returns afterwards.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; without the setting, one in the warehouse.
@@ -25,7 +46,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffles_dropped(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)
 
 
 def new_table_path(spark: SparkSession) -> str:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.session import shuffles_dropped
 from parley.sources import schemas
 
 
@@ -66,7 +67,8 @@ def read_sql_table(
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a model table. A table has no row order, so nothing is sorted for it."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def write_clustered(
@@ -86,7 +88,8 @@ def write_clustered(
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = table or f"clustered_{uuid.uuid4().hex}"
     dealt = df.repartition(buckets, *by)
-    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
+    with shuffles_dropped(spark):
+        dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(name)
     written = spark.table(name)
     if table is None:
         spark.sql(f"DROP TABLE {name}")  # the entry; the files are elsewhere and stay
