@@ -46,29 +46,30 @@ UNITS = "mm|cm|m|km|mg|g|kg|ml|l|s|h|hz|w|kw|v|in|ft|mi|lb|lbs|oz|inch|inches|fo
 
 def marked(text: Column) -> Column:
     """The text in lower case without punctuation, each value behind the mark of its type."""
-    for _ in range(2):  # the second time for names that follow a name
-        text = F.regexp_replace(text, r"([\p{Ll}\p{Nd},;:)] )(\p{Lu}\p{L}+)", "$1" + NAME + "$2")
+    # Rare characters come first in a pattern and what must stand around them after, so most places fail at one comparison.
+    text = F.regexp_replace(text, r" (?=\p{Lu}\p{L})(?<=[\p{Ll}\p{Nd},;:)] )", " " + NAME)
     # A number starts at a digit that continues none; it is not matched as a whole, for it may have any length.
-    text = F.regexp_replace(text, r"(?<![0-9])(?<![0-9][.,:/])([0-9])", NUMBER + "$1")
+    text = F.regexp_replace(text, r"[0-9](?<![0-9].)(?<![0-9][.,:/].)", NUMBER + "$0")
     text = F.lower(F.regexp_replace(text, r"[^\p{L}\p{Nd}\x01-\x03 \t\n\x0B\f\r]+", ""))
     return F.regexp_replace(text, r"(\x02[^ \x02\t\n\x0B\f\r]* )(" + UNITS + r")([ \t\n\x0B\f\r]|$)", "$1" + UNIT + "$2$3")
 
 
 def template(text: Column) -> Column:
-    """A marked text without the values. Words are tried from their first character only, so long ones take no longer."""
-    return F.regexp_replace(text, r"(?<![^ \t\n\x0B\f\r])[^ \t\n\x0B\f\r]*([\x01-\x03])[^ \t\n\x0B\f\r]*", "$1")
+    """A marked text without the values: of a word with marks the last one stays. Only marks are looked for, so long words take
+    no longer."""
+    for _ in range(2):  # what stands before the last mark, then what stands behind it
+        text = F.regexp_replace(F.reverse(text), r"([\x01-\x03])[^ \t\n\x0B\f\r]+", "$1")
+    return text
 
 
 def word_list(text: Column) -> Column:
     """The words of a text; none for an empty one."""
-    return F.filter(F.split(text, BLANK + "+"), lambda w: w != "")
+    return F.array_remove(F.split(text, BLANK + "+"), "")
 
 
-def window_hashes(words: Column, size: int = WINDOW, *kind: Column) -> Column:
-    """(at, key) of every window of so many words; keys of another kind are other keys."""
-    last = F.size(words) - size
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice(words, i + 1, F.lit(size)), *kind).alias("key")))
+def key_at(words: Column, at: Column, size: int = WINDOW, *kind: Column) -> Column:
+    """The key of the window of so many words at a place; keys of another kind are other keys."""
+    return F.xxhash64(F.slice(words, at + 1, F.lit(size)), *kind)
 
 
 def plain(text: Column) -> Column:
@@ -82,6 +83,23 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return values.select("item_id", word_list(F.col("marked")).alias("item_values"), word_list(template(F.col("marked"))).alias("item_words"))
 
 
+def places(texts: DataFrame, exact_sizes: list[int], loose_sizes: list[int]) -> DataFrame:
+    """doc_id, text_key, at and key of every window of (doc_id, text), and of the runs that items of these sizes may fill.
+
+    A row for each word, so that keys are made in generated code: functions of arrays would be interpreted for each window.
+    """
+    cut = texts.select("doc_id", F.xxhash64("text").alias("text_key"), marked(F.col("text")).alias("marked"))
+    words = cut.select("doc_id", "text_key", word_list(template(F.col("marked"))).alias("words"), *[word_list(plain(F.col("marked"))).alias("literal")][: len(exact_sizes)])
+    kinds = [("words", WINDOW, []), *(("literal", k, [F.lit(LITERAL)]) for k in exact_sizes), *(("words", k, [F.lit(LOOSE)]) for k in loose_sizes)]
+    least = min(size for _, size, _ in kinds)
+    # The outer form, as Spark would make the words twice to leave out texts without any; here the condition does it.
+    placed = words.select("*", F.posexplode_outer("words").alias("at", "word")).where(F.col("at") <= F.size("words") - least)
+    keys = [F.when(F.col("at") <= F.size(name) - size, key_at(F.col(name), F.col("at"), size, *kind)) for name, size, kind in kinds]
+    if len(keys) == 1:
+        return placed.select("doc_id", "text_key", "at", keys[0].alias("key"))
+    return placed.select("doc_id", "text_key", "at", F.explode(F.array(*keys)).alias("key")).where("key is not null")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, text_key, item_id, at (the item's place in the document's words), n_matched, n_item, n_slots, n_changed of all leaks."""
     items = settled(items_of(benchmark.select("item_id", "text")))
@@ -89,8 +107,9 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def telling(words: Column) -> Column:
         return F.size(F.filter(words, lambda w: ~w.isin(NAME, NUMBER, UNIT)))
 
-    windows = items.withColumn("w", F.explode(window_hashes(F.col("item_words")))).where(telling(F.slice("item_words", F.col("w.at") + 1, F.lit(WINDOW))) >= TELLING)
-    windows = settled(windows.select(F.col("w.key").alias("key"), "item_id", F.col("w.at").alias("item_at"), F.lit(False).alias("whole")))
+    windows = items.select("*", F.posexplode("item_words").alias("item_at", "word")).where(F.col("item_at") <= F.size("item_words") - WINDOW)
+    windows = windows.where(telling(F.slice("item_words", F.col("item_at") + 1, F.lit(WINDOW))) >= TELLING)
+    windows = settled(windows.select(key_at(F.col("item_words"), F.col("item_at")).alias("key"), "item_id", "item_at", F.lit(False).alias("whole")))
     n, rest = F.size("item_words"), F.slice("item_words", 2, F.greatest(F.lit(0), F.size("item_words") - 1))
     found_by_window = windows.where("item_at > 0").select("item_id").distinct()
     short = settled(items.where(n > 0).join(found_by_window, "item_id", "left_anti").withColumn("literal", F.transform("item_values", plain)))
@@ -102,11 +121,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
-    cut = keyed.select("doc_id", "text_key", marked(F.col("text")).alias("marked"))
-    words = cut.select("doc_id", "text_key", word_list(template(F.col("marked"))).alias("words"), *[word_list(plain(F.col("marked"))).alias("literal")][: len(exact_sizes)])
-    hashes = [window_hashes(F.col("words")), *(window_hashes(F.col("literal"), k, F.lit(LITERAL)) for k in exact_sizes), *(window_hashes(F.col("words"), k, F.lit(LOOSE)) for k in loose_sizes)]
-    places = words.select("doc_id", "text_key", F.explode(F.concat(*hashes)).alias("w")).select("doc_id", "text_key", F.col("w.at").alias("at"), F.col("w.key").alias("key"))
-    lies = places.join(known, "key").select("doc_id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("at"), "whole")
+    lies = places(texts, exact_sizes, loose_sizes).join(known, "key").select("doc_id", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("at"), "whole")
     lies = settled(lies.groupBy("doc_id", "text_key", "item_id", "at").agg(F.max("whole").alias("whole"), F.max(~F.col("whole")).alias("by_window")))
 
     found = lies.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct()

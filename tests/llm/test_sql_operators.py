@@ -221,6 +221,42 @@ def test_long_words_take_no_longer(spark, text, words):
     assert time.monotonic() - began < 60
 
 
+def test_templates_are_as_their_rules_say(spark):
+    """Against the rules in plain patterns: names in rows, numbers with separators, words with several values."""
+    import random
+
+    name, blank = decontamination.NAME, r"[^ \t\n\x0B\f\r]"
+    rng = random.Random(5)
+    parts = ["Anna", "BOB", "Eva's", "O", "éÉa", "Ärger", "12", "3.5", "1,000:2/3", "7kg", "km", "kg", "a1B2/+", "x\x01y\x02z", "\x03", "so", ",", ")", ";", "中文", "۳", "𝐀b"]
+    texts = ["", " ", "\n a"] + ["".join(rng.choice(parts) + rng.choice([" ", " ", " ", "", "\n", "\t "]) for _ in range(12)) for _ in range(400)]
+
+    def marked(text):
+        for _ in range(2):
+            text = F.regexp_replace(text, r"([\p{Ll}\p{Nd},;:)] )(\p{Lu}\p{L}+)", "$1" + name + "$2")
+        text = F.regexp_replace(text, r"(?<![0-9])(?<![0-9][.,:/])([0-9])", decontamination.NUMBER + "$1")
+        text = F.lower(F.regexp_replace(text, r"[^\p{L}\p{Nd}\x01-\x03 \t\n\x0B\f\r]+", ""))
+        return F.regexp_replace(text, r"(\x02[^ \x02\t\n\x0B\f\r]* )(" + decontamination.UNITS + r")([ \t\n\x0B\f\r]|$)", "$1" + decontamination.UNIT + "$2$3")
+
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(marked(F.col("text")).alias("want"), decontamination.marked(F.col("text")).alias("got"))
+    words = F.filter(F.split(F.regexp_replace("want", f"{blank}*([\\x01-\\x03]){blank}*", "$1"), decontamination.BLANK + "+"), lambda w: w != "")
+    rows = rows.select("want", "got", words.alias("words"), decontamination.word_list(decontamination.template(F.col("got"))).alias("got_words")).collect()
+    assert [r["got"] for r in rows] == [r["want"] for r in rows]
+    assert [r["got_words"] for r in rows] == [r["words"] for r in rows]
+    assert sum(name in r["want"] for r in rows) > 50
+
+
+def test_windows_are_keyed_in_generated_code(spark, capsys):
+    """No step of the scan of the documents is interpreted, and texts are made into words once."""
+    docs = brute.frame(spark, [(1, ITEM), (2, ""), (3, "one two three")]).select("doc_id", "text")
+    decontamination.places(docs, [3], [4]).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("*(1) Generate") == 2 and plan.count("Generate") == 2
+    assert plan.count("xxhash64(text") == 1 and plan.count("lower(") == 1
+    n = len(ITEM.split())
+    assert decontamination.places(docs, [], []).count() == n - 7
+    assert decontamination.places(docs, [3], [4]).count() == (n - 7) + (n - 2) + (n - 3) + 1
+
+
 RIVER = "Which river flows through the capital city of France"
 
 
