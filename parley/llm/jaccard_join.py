@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 
 from parley.llm.chunks import KEY_SCHEMA, PLACE_BITS, answers_of, chunked, key_rows, pack_sorted, parts_for, rows_of, settled, totals, unpack_batch, unpack_sorted
 from parley.llm.components import components
-from parley.llm.text import first_of, gram_places, grams, mix, tidied, words_of
+from parley.llm.text import first_of, gram_places, grams, mix, runs, texts_of, tidied, words_of
 
 SHINGLE, PERCENT = 5, 75
 KEY_BITS = 44
+#: Bytes of text, about, that are made into sets at once.
+RUN_BYTES = 1 << 20
 #: Shingles of a group's members in all, about, and queries that one task opens it for.
 GROUP_SHINGLES, OPEN_ROWS = 1 << 20, 2048
 #: Shingles by which sets look for a set like them: those of least hash, and those that most sets have.
@@ -48,8 +50,20 @@ def need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-n * percent // 100)
 
 
-def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all texts, text by text, and where each text's begin (one more for the end)."""
+def shingle_sets(texts: pa.Array | pa.ChunkedArray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of all texts, text by text, and where each text's begin (one more for the end). Made run by run, as
+    the working arrays take some 20 times the bytes of the texts."""
+    texts = texts_of(texts)
+    found, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for a, b in runs(texts, RUN_BYTES):
+        own, first = sets_of_run(texts.slice(a, b - a), size)
+        found.append(own)
+        sizes.append(np.diff(first))
+    return np.concatenate(found), np.cumsum(np.concatenate(sizes))
+
+
+def sets_of_run(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """As shingle_sets, of all texts at once."""
     words = words_of(texts, lower=True)
     hashes, counts = words.hashes(), words.counts
     doc = words.documents()

@@ -194,10 +194,14 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in runs whose texts have about limit bytes, or of one longer row; bounds working arrays."""
-    sizes = pc.binary_length(texts_of(batch.column(text))).to_numpy(zero_copy_only=False).astype(np.int64)
-    run = np.cumsum(sizes) // limit
+def runs(texts: pa.Array, limit: int) -> list[tuple[int, int]]:
+    """Texts in runs of about limit bytes, or of one longer text: the first of each run and the one behind its last."""
+    run = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // limit
     edges = np.flatnonzero(np.diff(run, prepend=-1)) if len(run) else run
-    for a, b in zip(edges, np.append(edges[1:], len(run)), strict=False):
+    return list(zip(edges.tolist(), np.append(edges[1:], len(run)).tolist(), strict=False))
+
+
+def slices(batch: pa.RecordBatch, text: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in such runs of their texts; bounds working arrays."""
+    for a, b in runs(texts_of(batch.column(text)), limit):
         yield batch.slice(a, b - a)

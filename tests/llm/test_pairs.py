@@ -1,7 +1,10 @@
 """Near duplicates and repeated passages against brute force."""
 
 import hashlib
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from parley.llm import chunks, components, jaccard_join, substring_dedup
@@ -30,6 +33,22 @@ def test_components(spark, monkeypatch, rounds, group, share):
     assert got_components(brute.frame(spark, rows).repartition(3)) == sorted(want, key=brute.sort_key)
 
 
+def test_sets_take_little_memory(monkeypatch):
+    """Working arrays are those of a run of texts, not of a whole chunk; sets are the same whatever the runs are."""
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) for n in rng.integers(0, 900, 1500)] + [None, "", "a b", "x " * 200_000])
+    size = sum(len(t.as_py() or "") for t in texts)
+    tracemalloc.start()
+    found, first = jaccard_join.shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * size and size > 4 * jaccard_join.RUN_BYTES
+    monkeypatch.setattr(jaccard_join, "RUN_BYTES", 1 << 40)
+    once, first_once = jaccard_join.shingle_sets(texts)
+    assert np.array_equal(found, once) and np.array_equal(first, first_once)
+    assert [len(x) for x in jaccard_join.shingle_sets(texts[:0])] == [0, 1]
+
+
 def test_groups_alone_lose_no_link(spark, monkeypatch):
     """Without the first links, every link has to come from queries to groups."""
     none = lambda sets, percent: sets.select(sets.node.alias("a"), sets.node.alias("b")).limit(0)
